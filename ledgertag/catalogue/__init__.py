@@ -6,7 +6,7 @@ from ledgertag.catalogue.registry import QUERIES, SQL, Query
 
 
 def _load() -> None:
-    from ledgertag.catalogue import preparation  # noqa: F401
+    from ledgertag.catalogue import evaluation, modelling, preparation  # noqa: F401
 
 
 def all_queries() -> dict[str, Query]:
