@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,7 +230,10 @@ PLAIN_SQL = "user_id, account_id, transaction_id, CAST(date AS VARCHAR) AS date"
 
 
 def all_category_feedback(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    tables = t.category_tables(spark, sf_dir)
+    return in_order(t.category_tables(t.kept_feedback_events(spark, sf_dir)))
+
+
+def in_order(tables: dict[str, DataFrame]) -> list[DataFrame]:
     return [tables[name] for name in CATEGORY_TABLES]
 
 
@@ -268,7 +269,7 @@ def category_feedback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = eligible_users(t.users(spark, sf_dir), t.test_users(spark, sf_dir))
-    return label_feedback_with_country(t.label_events(spark, sf_dir), known)
+    return label_feedback_with_country(t.label_events(t.feedback_events(spark, sf_dir)), known)
 
 
 LIST_SQL = (
@@ -306,7 +307,7 @@ def label_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def label_feedback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = label_feedback(
-        t.label_events(spark, sf_dir),
+        t.label_events(t.feedback_events(spark, sf_dir)),
         eligible_users(t.users(spark, sf_dir), t.test_users(spark, sf_dir)),
         base(spark, sf_dir),
     )
@@ -467,10 +468,11 @@ OUTER_SELECT = (
 
 def both_feedbacks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     eligible = base(spark, sf_dir)
+    events = t.kept_feedback_events(spark, sf_dir)
     known = eligible_users(t.users(spark, sf_dir), t.test_users(spark, sf_dir))
     return (
-        category_feedback(all_category_feedback(spark, sf_dir), eligible),
-        label_feedback(t.label_events(spark, sf_dir), known, eligible),
+        category_feedback(in_order(t.category_tables(events)), eligible),
+        label_feedback(t.label_events(events), known, eligible),
     )
 
 
@@ -608,11 +610,7 @@ TRAINING_SET_CTES = {
 
 @query("training_set", sql("SELECT * FROM training_rows", **TRAINING_SET_CTES))
 def training_set_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_set(t.pipeline_tables(spark, sf_dir), fitting_config(spark, sf_dir))
-
-
-def fitting_config(spark: SparkSession, sf_dir: str):
-    return dataclasses.replace(CONFIG)
+    return training_set(t.pipeline_tables(spark, sf_dir), CONFIG)
 
 
 @query(

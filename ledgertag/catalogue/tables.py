@@ -12,8 +12,16 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertag.domain import CATEGORY_LABELS, LABELS, TRANSACTION_LABELS
+from ledgertag.domain import (
+    CATEGORY_LABELS,
+    HASHED_KEY,
+    LABELS,
+    MODEL_INPUTS,
+    PLAIN_KEY,
+    TRANSACTION_LABELS,
+)
 from ledgertag.plans.training_set import TrainingSetConfig
+from ledgertag.session import materialize
 from ledgertag.sources.tables import TABLES
 
 SITES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
@@ -75,38 +83,47 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transaction columns but the description, which needs the parts."""
     lines = read(spark, sf_dir, "lineitem")
     owners = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = read(spark, sf_dir, "part")
     day = F.to_date("l_shipdate")
     number = F.concat_ws(
         "-", *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")]
     )
-    return (
-        lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        .select(
-            F.col("o_custkey").alias("user_id"),
-            F.col("l_orderkey").alias("account_id"),
-            number.alias("transaction_id"),
-            day.alias("date"),
-            F.when(F.col("l_returnflag") == "N", 2).otherwise(1).alias("pending"),
-            F.expr(DESCRIPTION_SQL).alias("description"),
-            F.expr(INTERNAL_SQL).alias("internal_transaction"),
-            F.expr(TYPE_SQL).alias("transaction_type"),
-            F.col("l_extendedprice").alias("amount"),
-            F.col("l_linenumber").alias("cycle_id"),
-            F.col("o_custkey").alias("user_id_hashed"),
-            F.col("l_orderkey").alias("account_id_hashed"),
-            number.alias("transaction_id_hashed"),
-            F.month(day).alias("month"),
-            F.year(day).alias("year"),
-        )
-        .select(*TABLES["transactions"].columns)
+    return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_orderkey").alias("account_id"),
+        number.alias("transaction_id"),
+        day.alias("date"),
+        F.when(F.col("l_returnflag") == "N", 2).otherwise(1).alias("pending"),
+        F.expr(INTERNAL_SQL).alias("internal_transaction"),
+        F.expr(TYPE_SQL).alias("transaction_type"),
+        F.col("l_extendedprice").alias("amount"),
+        F.col("l_linenumber").alias("cycle_id"),
+        F.col("o_custkey").alias("user_id_hashed"),
+        F.col("l_orderkey").alias("account_id_hashed"),
+        number.alias("transaction_id_hashed"),
+        F.month(day).alias("month"),
+        F.year(day).alias("year"),
+        "l_partkey",
     )
 
 
+def with_description(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    parts = read(spark, sf_dir, "part").select(
+        "p_partkey", F.expr(DESCRIPTION_SQL).alias("description")
+    )
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left").drop(
+        "l_partkey", "p_partkey"
+    )
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_description(spark, sf_dir, transaction_lines(spark, sf_dir))
+    return rows.select(*TABLES["transactions"].columns)
+
+
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(
         "event_id", "ts", "event_type", "value",
@@ -119,71 +136,71 @@ def _pick(names: list[str], position: Column) -> Column:
 
 
 def feedback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the key of the transaction they are about."""
-    events = event_fields(spark, sf_dir)
-    lines = transactions(spark, sf_dir).select(
-        "user_id", "account_id", "transaction_id", "date", "pending", "cycle_id"
-    )
+    """Events with the transaction they are about."""
     about = (F.col("account_id") == F.expr("event_id div 8")) & (
         F.col("cycle_id") == F.col("k") % 4 + 1
     )
-    return events.join(lines, about).select(
-        "user_id", "account_id", "transaction_id", "date", "pending",
-        F.when(F.col("value") >= 1, F.col("ts")).alias("feedback_time"),
-        "event_type", "k",
+    events = event_fields(spark, sf_dir).withColumn(
+        "feedback_time", F.when(F.col("value") >= 1, F.col("ts"))
     )
+    return events.join(transaction_lines(spark, sf_dir), about)
+
+
+def category_of(k: Column) -> Column:
+    return F.get(F.lit(CATEGORY_LABELS), k % len(CATEGORY_LABELS))
+
+
+def label_of(k: Column) -> Column:
+    return F.get(F.lit(TRANSACTION_LABELS), (F.floor(k / 4) % len(TRANSACTION_LABELS)).cast("int"))
 
 
-def category_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    events = feedback_events(spark, sf_dir).withColumn(
-        "category", _pick(CATEGORY_LABELS, F.col("k") % len(CATEGORY_LABELS))
+def kept_feedback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feedback events for callers that make several tables out of them: computed once."""
+    return materialize(
+        feedback_events(spark, sf_dir).select(
+            *PLAIN_KEY, *HASHED_KEY[:3], "pending", "feedback_time", "event_type", "k"
+        )
+    )
+
+
+def category_tables(events: DataFrame) -> dict[str, DataFrame]:
+    rows = events.select(
+        *PLAIN_KEY, "pending", "feedback_time", "event_type",
+        category_of(F.col("k")).alias("category"),
     )
     return {
-        table: events.where(F.col("event_type") == kind).drop("event_type", "k")
+        table: rows.where(F.col("event_type") == kind).drop("event_type")
         for table, kind in CATEGORY_EVENT_TYPES.items()
     }
 
 
-def label_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feedback_events(spark, sf_dir).where(F.col("event_type").isin(LABEL_EVENT_TYPES))
-    return events.select(
-        F.col("user_id").alias("user_id_hashed"),
-        F.col("account_id").alias("account_id_hashed"),
-        F.col("transaction_id").alias("transaction_id_hashed"),
-        "date", "pending", "feedback_time",
-        _pick(TRANSACTION_LABELS, F.expr("k div 4") % len(TRANSACTION_LABELS))
-        .alias("transaction_label"),
+def label_events(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type").isin(LABEL_EVENT_TYPES)).select(
+        *HASHED_KEY, "pending", "feedback_time", label_of(F.col("k")).alias("transaction_label")
     )
 
 
 def pipeline_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    events = kept_feedback_events(spark, sf_dir)
     return {
         "users": users(spark, sf_dir),
         "test_users": test_users(spark, sf_dir),
         "accounts": accounts(spark, sf_dir),
         "transactions": transactions(spark, sf_dir),
-        "historical_labels_feedback": label_events(spark, sf_dir),
-        **category_tables(spark, sf_dir),
+        "historical_labels_feedback": label_events(events),
+        **category_tables(events),
     }
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feedback event with its transaction: rows to fit label vectors on."""
-    categories = [
-        t.select("user_id", "account_id", "transaction_id", "date",
-                 F.col("category").alias("target_label"))
-        for t in category_tables(spark, sf_dir).values()
-    ]
-    labels = label_events(spark, sf_dir).select(
-        F.col("user_id_hashed").alias("user_id"), F.col("account_id_hashed").alias("account_id"),
-        F.col("transaction_id_hashed").alias("transaction_id"), "date",
-        F.col("transaction_label").alias("target_label"),
-    )
-    rows = labels
-    for table in categories:
-        rows = rows.unionByName(table)
-    key = ["user_id", "account_id", "transaction_id", "date"]
-    return rows.join(transactions(spark, sf_dir), key)
+    kind = F.col("event_type")
+    targets = F.array_compact(F.array(
+        F.when(kind.isin(list(CATEGORY_EVENT_TYPES.values())), category_of(F.col("k"))),
+        F.when(kind.isin(LABEL_EVENT_TYPES), label_of(F.col("k"))),
+    ))
+    rows = with_description(spark, sf_dir, feedback_events(spark, sf_dir))
+    return rows.select(*MODEL_INPUTS, F.explode(targets).alias("target_label"))
 
 
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

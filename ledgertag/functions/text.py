@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,14 +18,32 @@ from ledgertag.functions.hashing import hex_to_long
 PAD_ID = 0
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a value several times but compute it once: a one-element transform names it.
+
+    ``use`` must not refer to the value from inside another lambda; Spark then fails to hand
+    the result to a Python function.
+    """
+    return F.transform(F.array(value), lambda bound: use(bound))[0]
+
+
 def clean_text(text: Column) -> Column:
     """Letters and single digits stay; everything else becomes a space. Lower case."""
     return F.lower(F.regexp_replace(text, NOISE_PATTERN, " "))
 
 
 def split_tokens(cleaned: Column, max_tokens: int = SEQUENCE_LENGTH // 2) -> Column:
-    """Tokens between blanks; the last allowed token holds all the text that remains."""
-    return F.filter(F.split(F.ltrim(cleaned), " +", max_tokens), lambda token: token != "")
+    """Tokens between blanks; the last allowed token holds all the text that remains.
+
+    A split at single blanks needs no pattern and is all that short texts take; only texts
+    with as many tokens as allowed are split again, by pattern and with the limit.
+    """
+
+    words = F.filter(F.split(cleaned, " "), lambda token: token != "")
+    by_pattern = F.split(F.ltrim(cleaned), " +", max_tokens)
+    return F.when(F.size(words) < max_tokens, words).otherwise(
+        F.filter(by_pattern, lambda token: token != "")
+    )
 
 
 def one_and_two_grams(tokens: Column) -> Column:
@@ -34,8 +54,7 @@ def one_and_two_grams(tokens: Column) -> Column:
         first, second = F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs)
         return F.concat(words, F.zip_with(first, second, lambda a, b: F.concat(a, F.lit(" "), b)))
 
-    # Bound to a name by a one-element transform, so that the tokens are computed once.
-    return F.transform(F.array(tokens), grams)[0]
+    return bind(tokens, grams)
 
 
 def token_bucket(token: Column, buckets: int = VOCABULARY_SIZE) -> Column:
@@ -52,7 +71,8 @@ def token_ids(
     text: Column, length: int = SEQUENCE_LENGTH, buckets: int = VOCABULARY_SIZE
 ) -> Column:
     """Clean, tokenise, pair up, hash and pad."""
-    grams = one_and_two_grams(split_tokens(clean_text(text), length // 2))
+    tokens = bind(clean_text(text), lambda cleaned: split_tokens(cleaned, length // 2))
+    grams = one_and_two_grams(tokens)
     return pad_ids(F.transform(grams, lambda gram: token_bucket(gram, buckets)), length)
 
 

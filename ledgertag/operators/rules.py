@@ -6,6 +6,8 @@ every step works on its row alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,8 +96,16 @@ def label_set(flags: Column, labels: list[str] = TRANSACTION_LABELS) -> Column:
 
 def add_label(labels: Column, prefix: str, label: Column) -> Column:
     """Add prefix and lower-case label to a set; a missing label adds nothing."""
-    added = F.concat(F.lit(f"{prefix}_"), F.lower(label))
-    return F.when(label.isNotNull(), F.array_union(labels, F.array(added))).otherwise(labels)
+    added = F.array_compact(F.array(F.concat(F.lit(f"{prefix}_"), F.lower(label))))
+    return F.array_union(labels, added)
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Search for a pattern; one without special characters needs no pattern matching."""
+    literal = pattern.removeprefix("(?i)")
+    if re.fullmatch(r"[A-Za-z0-9 _-]+", literal) is None:
+        return text.rlike(pattern)
+    return text.contains(literal) if literal == pattern else F.lower(text).contains(literal.lower())
 
 
 def tax_label(country: str, rules: list[TaxRule], columns: list[str]) -> Column:
@@ -105,21 +115,30 @@ def tax_label(country: str, rules: list[TaxRule], columns: list[str]) -> Column:
         fits = F.lit(True)
         for column, pattern in rule.patterns:
             text = F.coalesce(F.col(column), F.lit("")) if column in columns else F.lit("")
-            fits &= text.rlike(pattern)
+            fits &= matches(text, pattern)
         label = F.when(fits, F.lit(rule.label)).otherwise(label)
     return label
 
 
 def add_tax_labels(df: DataFrame, rules: list[TaxRule] = TAX_RULES) -> DataFrame:
-    """Add the tax label of the row's country; without a country, those of all countries."""
+    """Add the tax label of the row's country; without a country, those of all countries.
+
+    The label of each country is a column of its own first, so that every pattern is tried
+    once per row.
+    """
     country = F.col("country_code") if "country_code" in df.columns else F.lit(None)
-    result = df.withColumn("country_code", F.coalesce(country.cast("string"), F.lit("")))
-    for code in dict.fromkeys(rule.country_code for rule in rules):
-        concerned = F.col("country_code").isin(code, "")
-        label = F.when(concerned, tax_label(code, rules, df.columns))
-        prefix = f"Tax_{code.lower()}"
-        result = result.withColumn("labels", add_label(F.col("labels"), prefix, label))
-    return result
+    codes = list(dict.fromkeys(rule.country_code for rule in rules))
+    known = df.withColumn("country_code", F.coalesce(country.cast("string"), F.lit("")))
+    found = known.withColumns({
+        f"_tax_{code}": F.when(
+            F.col("country_code").isin(code, ""), tax_label(code, rules, df.columns)
+        )
+        for code in codes
+    })
+    labels = F.col("labels")
+    for code in codes:
+        labels = add_label(labels, f"Tax_{code.lower()}", F.col(f"_tax_{code}"))
+    return found.withColumn("labels", labels).drop(*[f"_tax_{code}" for code in codes])
 
 
 def apply_test_descriptions(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgertag.functions.hashing import row_digest, unit_draw
 from ledgertag.operators.copies import number_copies
-from ledgertag.session import bounded_side, materialize
+from ledgertag.session import BROADCAST_ROWS, bounded_side, materialize
 
 FRACTION_SEED = 123
 STRATUM_SEED = 42
@@ -114,14 +114,16 @@ def split_by_class(
     test, the next to validation, the rest to train. The two cut points of a class are found
     by counting rows per (class, digest prefix) and then looking only into the prefix where a
     cut falls. So no class is sorted as a whole, and the frame itself is not shuffled: each
-    row is compared with the cuts of its class.
+    row is compared with the cuts of its class. Classes are counted before their cuts are
+    sent to all rows.
     """
     drawn = df.select(
         F.col(class_column).alias("class"), row_digest([key], seed).alias("digest")
     ).withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
     buckets = materialize(drawn.groupBy("class", "bucket").agg(F.count("*").alias("n")))
     sizes = buckets.groupBy("class").agg(F.sum("n").alias("size"))
-    check_split(sizes, n_validation, n_test, strict)
+    classes = check_split(sizes, n_validation, n_test, strict)
+    few = F.broadcast if 2 * classes <= BROADCAST_ROWS else (lambda df: df)
 
     quotas = _shares(sizes, "size", n_test, "test_quota")
     left = quotas.withColumn("left", F.col("size") - F.col("test_quota"))
@@ -148,7 +150,7 @@ def split_by_class(
     )
     in_bucket = Window.partitionBy("cut_class", "cut").orderBy("digest")
     nearby = drawn.join(
-        bounded_side(cuts),
+        few(cuts),
         F.col("class").eqNullSafe(F.col("cut_class"))
         & (F.col("bucket") == F.col("cut_bucket")),
     )
@@ -163,9 +165,7 @@ def split_by_class(
     )
     digest = row_digest([F.col(key)], seed)
     return (
-        df.join(
-            bounded_side(limits), F.col(class_column).eqNullSafe(F.col("cut_class")), "left"
-        )
+        df.join(few(limits), F.col(class_column).eqNullSafe(F.col("cut_class")), "left")
         .withColumn(
             "split",
             F.when(digest <= F.col("test_end"), "test")
@@ -176,8 +176,11 @@ def split_by_class(
     )
 
 
-def check_split(sizes: DataFrame, n_validation: int, n_test: int, strict: bool) -> None:
-    """Refuse totals the frame cannot give; ``strict`` also refuses classes too small to divide."""
+def check_split(sizes: DataFrame, n_validation: int, n_test: int, strict: bool) -> int:
+    """Refuse totals the frame cannot give; ``strict`` also refuses classes too small to divide.
+
+    Returns the number of classes, which bounds the tables of cuts.
+    """
     rows, classes, smallest = sizes.agg(F.sum("size"), F.count("*"), F.min("size")).first()
     if n_validation + n_test > (rows or 0):
         raise ValueError(
@@ -188,3 +191,4 @@ def check_split(sizes: DataFrame, n_validation: int, n_test: int, strict: bool)
             f"{classes} classes, the smallest of {smallest} rows, cannot be divided "
             f"into {n_test} test and {n_validation} validation rows"
         )
+    return classes
