@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel  # noqa: F401  (re-exported for callers that persist)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,8 @@ def build_session(app_name: str = "ledgertag", **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a hot key also where that costs another shuffle afterwards.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -34,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only where the setting is absent, as in local tests, a temporary folder takes its place.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
         named = tempfile.mkdtemp(prefix="ledgertag-")
     if not context.getCheckpointDir():

@@ -6,6 +6,7 @@ import pytest
 
 from ledgertag.catalogue import tables as t
 from ledgertag.domain import SIMILARITY_THRESHOLD
+from ledgertag.operators.copies import number_copies
 from ledgertag.operators.eligibility import eligible_transactions, eligible_users, live_accounts
 from ledgertag.operators.evaluate import metric_sums_by_group
 from ledgertag.operators.feedback import label_counts, latest_feedback
@@ -65,3 +66,41 @@ def test_feedback_is_reduced_before_the_shuffle(spark):
 def test_metrics_shuffle_partial_sums_only(spark):
     text = plan(metric_sums_by_group(t.judged_documents(spark, SF_DIR), ["quality", "toxic"]))
     assert "partial_sum" in text and "Window" not in text and "collect_list" not in text
+
+
+def test_hot_user_is_split_in_the_join(spark):
+    """One account holds a third of all transactions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        owner = "IF(id % 3 = 0, '7', cast(id % 3000 AS string))"
+        users = spark.range(3000).selectExpr("cast(id AS string) AS user_id_hashed", "'GB' AS country_code")
+        accounts = users.selectExpr("user_id_hashed", "user_id_hashed AS account_id_hashed", "'x' AS site_id")
+        transactions = spark.range(0, 60_000, 1, 8).selectExpr(
+            f"{owner} AS user_id_hashed", f"{owner} AS account_id_hashed",
+            "2018 AS year", "1 AS month", "md5(cast(id AS string)) AS description",
+        )
+        day = dt.date(2018, 1, 1)
+        joined = eligible_transactions(users, accounts, transactions, day, day, day, ["x"])
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def test_equal_rows_are_counted_once_for_both_paths(spark):
+    numbered = number_copies(spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type"))
+    assert numbered.count() == 1_000
+    text = plan(numbered)
+    assert "partial_count" in text and "Window" not in text
