@@ -18,9 +18,7 @@ from ledgertag.domain import (
 from ledgertag.functions.text import (
     clean_text,
     one_and_two_grams,
-
     split_tokens,
-
     token_ids,
 )
 from ledgertag.functions.vectors import HASH_PRIME, hash_parameters, l2_normalize, dot

@@ -13,7 +13,6 @@ from ledgertag.domain import CATEGORY_LABELS, GENERAL, HASHED_KEY, LABELS
 from ledgertag.operators.assemble import (
     ROW_ID,
     feedback_outer,
-    labels_text,
     long_targets,
     trainable_rows,
     wide_rows,
@@ -45,7 +44,7 @@ from ledgertag.operators.sampling import (
 from ledgertag.plans.training_set import CATEGORY_TABLES, training_set
 from ledgertag.session import scratch_path
 from ledgertag.sources.sinks import split_counts_by_country, write_splits
-from ledgertag.sources.tables import TableSpec, load_table, select_columns
+from ledgertag.sources.tables import TableSpec, load_table
 
 DAY = F.col("date").cast("string").alias("date")
 

@@ -35,15 +35,14 @@ def clean_text(text: Column) -> Column:
 def split_tokens(cleaned: Column, max_tokens: int = SEQUENCE_LENGTH // 2) -> Column:
     """Tokens between blanks; the last allowed token holds all the text that remains.
 
-    A split at single blanks needs no pattern and is all that short texts take; only texts
-    with as many tokens as allowed are split again, by pattern and with the limit.
+    A split at single blanks needs no pattern and is all that short texts take. Texts with as
+    many tokens as allowed, or with very many blanks, are split by pattern and with the limit.
     """
-
-    words = F.filter(F.split(cleaned, " "), lambda token: token != "")
+    pieces = F.split(cleaned, " ", 2 * max_tokens)
+    words = F.filter(pieces, lambda token: token != "")
     by_pattern = F.split(F.ltrim(cleaned), " +", max_tokens)
-    return F.when(F.size(words) < max_tokens, words).otherwise(
-        F.filter(by_pattern, lambda token: token != "")
-    )
+    short = (F.size(pieces) < 2 * max_tokens) & (F.size(words) < max_tokens)
+    return F.when(short, words).otherwise(F.filter(by_pattern, lambda token: token != ""))
 
 
 def one_and_two_grams(tokens: Column) -> Column:
