@@ -497,7 +497,10 @@ MODEL_CTES = {
         FROM flagged""",
 }
 LINE_SQL = "account_id, transaction_id, CAST(date AS VARCHAR) AS date"
-LINE = ["account_id", "transaction_id", F.col("date").cast("string").alias("date")]
+
+
+def line() -> list:
+    return ["account_id", "transaction_id", F.col("date").cast("string").alias("date")]
 
 
 def model(spark: SparkSession, sf_dir: str) -> LabelModel:
@@ -539,7 +542,7 @@ def transaction_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "first_text": vector[0], "last_text": vector[31], "amount_part": vector[32],
         "debit_part": vector[33], "internal_part": vector[34], "total": total,
     }
-    return rows.select(*LINE, *[F.round(v, 6).alias(name) for name, v in parts.items()])
+    return rows.select(*line(), *[F.round(v, 6).alias(name) for name, v in parts.items()])
 
 
 @query(
@@ -555,21 +558,21 @@ def transaction_label_similarities_query(spark: SparkSession, sf_dir: str) -> Da
     scored = model(spark, sf_dir).similarities(t.transactions(spark, sf_dir))
     part = transaction_label_similarities(F.col("similarities"))
     return scored.withColumn("part", part).select(
-        *LINE, *[F.round(F.col("part")[i], 6).alias(f"s{i}") for i in range(8)]
+        *line(), *[F.round(F.col("part")[i], 6).alias(f"s{i}") for i in range(8)]
     )
 
 
 @query("business_rules", sql(suppressed_sql("ruled"), **MODEL_CTES))
 def business_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = model(spark, sf_dir).similarities(t.transactions(spark, sf_dir))
-    return apply_similarity_rules(scored).select(*LINE, suppressed(F.col("similarities")))
+    return apply_similarity_rules(scored).select(*line(), suppressed(F.col("similarities")))
 
 
 @query("label_elimination", sql(suppressed_sql("eliminated"), **MODEL_CTES))
 def label_elimination(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = model(spark, sf_dir).similarities(t.transactions(spark, sf_dir))
     rows = eliminate_conflicts(apply_similarity_rules(scored))
-    return rows.select(*LINE, suppressed(F.col("similarities")))
+    return rows.select(*line(), suppressed(F.col("similarities")))
 
 
 @query(
@@ -582,7 +585,7 @@ def label_elimination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def indicators_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = model(spark, sf_dir).indicators(t.transactions(spark, sf_dir))
     flags = F.array_join(F.col("predicted").cast("array<string>"), "")
-    return rows.select(*LINE, flags.alias("flags"))
+    return rows.select(*line(), flags.alias("flags"))
 
 
 @query(
@@ -597,7 +600,7 @@ def label_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = model(spark, sf_dir).similarities(t.transactions(spark, sf_dir))
     flags = indicators(F.col("similarities"))
     rows = eliminate_conflicts(apply_similarity_rules(scored)).withColumn("flags", flags)
-    return rows.select(*LINE, F.array_join(label_set(F.col("flags")), ",").alias("labels"))
+    return rows.select(*line(), F.array_join(label_set(F.col("flags")), ",").alias("labels"))
 
 
 # --- tax labels and test descriptions ---------------------------------------------------------
@@ -640,7 +643,7 @@ def tax_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.transactions(spark, sf_dir).join(t.users(spark, sf_dir), "user_id_hashed")
     empty = F.array().cast("array<string>")
     tagged = add_tax_labels(rows.withColumn("labels", empty), QUERY_TAX_RULES)
-    return tagged.select(*LINE, "country_code", F.array_join("labels", ",").alias("labels"))
+    return tagged.select(*line(), "country_code", F.array_join("labels", ",").alias("labels"))
 
 
 @query(
@@ -673,7 +676,7 @@ def label_rule_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames without any country: the rules of all countries apply."""
     rows = t.transactions(spark, sf_dir).withColumn("labels", F.array(F.lit("Base")))
     tagged = apply_label_rules(rows, QUERY_TAX_RULES, "red")
-    return tagged.select(*LINE, F.array_join(F.array_sort("labels"), ",").alias("labels"))
+    return tagged.select(*line(), F.array_join(F.array_sort("labels"), ",").alias("labels"))
 
 
 @query(
@@ -699,4 +702,4 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = fitted.predict(
         rows, QUERY_TAX_RULES, "red", keep=["account_id", "transaction_id", "date"]
     )
-    return labelled.select(*LINE, F.array_join(F.array_sort("labels"), ",").alias("labels"))
+    return labelled.select(*line(), F.array_join(F.array_sort("labels"), ",").alias("labels"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,9 @@ from ledgertag.session import scratch_path
 from ledgertag.sources.sinks import split_counts_by_country, write_splits
 from ledgertag.sources.tables import TableSpec, load_table
 
-DAY = F.col("date").cast("string").alias("date")
+
+def day() -> Column:
+    return F.col("date").cast("string").alias("date")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -119,10 +121,10 @@ def partitioned_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_json_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as nested JSON lines, then read by schema with nested columns."""
     folder = scratch_path(spark, "events")
-    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    written = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     t.read(spark, sf_dir, "events").select(
         F.struct("event_id", F.col("user_id").alias("userId")).alias("id"),
-        time.alias("time"),
+        written.alias("time"),
         F.struct(F.from_json("props", "k int")["k"].alias("k")).alias("fact"),
     ).write.json(folder)
     spec = TableSpec(
@@ -200,8 +202,8 @@ def transactions_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT t.*, country_code, site_id
         FROM owned o JOIN transactions t
           ON o.user_id_hashed = t.user_id_hashed AND o.account_id_hashed = t.account_id_hashed
-        WHERE (country_code <> 'NL' AND date BETWEEN DATE '1998-03-01' AND DATE '2000-12-31')
-           OR (country_code = 'NL' AND date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31')""",
+        WHERE (country_code <> 'NL' AND date BETWEEN DATE '1996-03-01' AND DATE '2000-12-31')
+           OR (country_code = 'NL' AND date BETWEEN DATE '1995-06-01' AND DATE '2000-12-31')""",
     ),
 )
 def transactions_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,10 +227,13 @@ def eligible_by_country_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feedback -----------------------------------------------------------------------------
 
 TIME_SQL = "strftime(feedback_time, '%Y-%m-%d %H:%M:%S.%f') AS feedback_time"
-TIME = F.date_format("feedback_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("feedback_time")
 PLAIN_SQL = "user_id, account_id, transaction_id, CAST(date AS VARCHAR) AS date"
 
 
+def time() -> Column:
+    return F.date_format("feedback_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("feedback_time")
+
+
 def all_category_feedback(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return in_order(t.category_tables(t.kept_feedback_events(spark, sf_dir)))
 
@@ -243,14 +248,14 @@ def in_order(tables: dict[str, DataFrame]) -> list[DataFrame]:
 )
 def feedback_union_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = union_feedback(*all_category_feedback(spark, sf_dir))
-    return rows.select("user_id", "account_id", "transaction_id", DAY, TIME, "category")
+    return rows.select("user_id", "account_id", "transaction_id", day(), time(), "category")
 
 
 @query("latest_feedback", sql(f"SELECT {PLAIN_SQL}, {TIME_SQL}, category FROM latest"))
 def latest_feedback_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = union_feedback(*all_category_feedback(spark, sf_dir), distinct=False)
     return latest_feedback(rows).select(
-        "user_id", "account_id", "transaction_id", DAY, TIME, "category"
+        "user_id", "account_id", "transaction_id", day(), time(), "category"
     )
 
 
@@ -330,7 +335,7 @@ LINE_KEY = ["account_id", "transaction_id", "date"]
 )
 def sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sample_to_size(t.transactions(spark, sf_dir), 20_000, LINE_KEY)
-    return rows.select("user_id", "account_id", "transaction_id", DAY, "amount")
+    return rows.select("user_id", "account_id", "transaction_id", day(), "amount")
 
 
 @query("sample_fraction_spark")
@@ -377,7 +382,7 @@ def sample_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transaction_id_hashed",
     )
     return rows.select(
-        *HASHED_KEY[:3], DAY, TIME, "transaction_label", "country_code"
+        *HASHED_KEY[:3], day(), time(), "transaction_label", "country_code"
     )
 
 

@@ -26,13 +26,13 @@ from ledgertag.sources.tables import TABLES
 
 SITES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 CONFIG = TrainingSetConfig(
-    start=dt.date(1998, 3, 1),
-    nl_start=dt.date(1996, 1, 1),
+    start=dt.date(1996, 3, 1),
+    nl_start=dt.date(1995, 6, 1),
     end=dt.date(2000, 12, 31),
     n_labels_feedback=40,
     n_categories_feedback=500,
-    n_validation=60,
-    n_test=90,
+    n_validation=5,
+    n_test=8,
     nl_site_ids=SITES,
 )
 LABEL_EVENT_TYPES = ["error", "signup", "click"]
@@ -304,8 +304,8 @@ CTES: dict[str, str] = {
         SELECT t.*, country_code, site_id
         FROM owned o JOIN transactions t
           ON o.user_id_hashed = t.user_id_hashed AND o.account_id_hashed = t.account_id_hashed
-        WHERE (country_code <> 'NL' AND year >= 1998 AND month >= 3 AND year <= 2000)
-           OR (country_code = 'NL' AND year >= 1996 AND month >= 1 AND year <= 2000)""",
+        WHERE (country_code <> 'NL' AND year >= 1996 AND month >= 3 AND year <= 2000)
+           OR (country_code = 'NL' AND year >= 1995 AND month >= 6 AND year <= 2000)""",
     "latest": """
         SELECT user_id, account_id, transaction_id, date, feedback_time, category
         FROM category_events
