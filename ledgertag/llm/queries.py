@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgertag.llm import packing, simhash
+from ledgertag.llm import decontaminate, packing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +27,23 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+    "op10_winnowing": op10_winnowing,
 }
 SQL: dict[str, str] = {}
