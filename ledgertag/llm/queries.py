@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertag.llm import decontaminate, packing, simhash
+from ledgertag.llm import decontaminate, packing, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_randomness_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]),
+        F.sha2("base_text", 256).alias("base_sha256"),
+        F.col("spans_text").alias("spans"),
+    )
+
+
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +52,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_randomness_tests": op2_randomness_tests,
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
