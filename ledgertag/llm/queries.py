@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertag.llm import decontaminate, packing, secret_scan, simhash
+from ledgertag.llm import decontaminate, packing, secret_scan, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,18 @@ def op2_randomness_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trained = toxicity.in_training(F.col("doc_id"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), trained)
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        F.coalesce(~trained, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,6 +65,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_randomness_tests": op2_randomness_tests,
+    "op4_clause_grammar": op4_clause_grammar,
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
