@@ -16,24 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgertag.llm.storage import column, stage, text_slices
+from ledgertag.llm.storage import ROW, column, stage, text_slices, with_row_keys
 from ledgertag.llm.words import LETTERS_DIGITS, Words
 
 WINDOW = 10
 GRAM = 5
 # Bits of a filter of fixed size that spares most grams of the corpus the join.
 FILTER_BITS = 20
-ROW = ["row_a", "row_b"]
-
-
-def _row_keys(docs: DataFrame) -> DataFrame:
-    """Id, text and 128 bits that name the row; equal rows share them."""
-    return docs.select(
-        "doc_id",
-        "text",
-        F.xxhash64("doc_id", "text").alias("row_a"),
-        F.xxhash64("text", "doc_id").alias("row_b"),
-    )
 
 
 def winnowed(grams: np.ndarray, whole: np.ndarray, width: int) -> np.ndarray:
@@ -204,7 +193,7 @@ def contamination(
     """
     if not 0 < gram <= window:
         raise ValueError("a gram has at least one word and fits into a window")
-    keyed = _row_keys(docs)
+    keyed = with_row_keys(docs, "doc_id", "text")
     known = stage(_benchmark(benchmark, window, gram), "benchmark").distinct()
     grams = known.where("kind = 'gram'").select("size", "hash_a").distinct()
     low = F.col("hash_a").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int")

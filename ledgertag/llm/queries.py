@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgertag.llm import decontaminate, packing, secret_scan, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,5 +70,6 @@ QUERIES: dict[str, Query] = {
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {}

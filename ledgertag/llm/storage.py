@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgertag.session import scratch_path
 
@@ -25,6 +26,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# 128 bits that name a row by its id and text; only equal rows share them.
+ROW = ["row_a", "row_b"]
+
+
+def with_row_keys(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select(
+        *columns,
+        F.xxhash64("doc_id", "text").alias("row_a"),
+        F.xxhash64("text", "doc_id").alias("row_b"),
+    )
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that each part holds about SLICE_BYTES of text."""
     for batch in batches:

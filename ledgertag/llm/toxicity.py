@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,7 @@ NEGATED, REPORTED, TARGETED_INSULT, TARGETED_THREAT = range(6, 10)
 OUTCOME_OF = {INSULT: 0, THREAT: 1, NEGATED: 2, REPORTED: 3, TARGETED_INSULT: 4, TARGETED_THREAT: 5}
 CLAUSE_ENDS = b".!?;:\n"
 REACH = 3  # words that a negation reaches
+COUNTS = "_outcome_counts"
 MOST = 6  # a count of outcomes goes into the score up to this; more of a kind say nothing new
 
 
@@ -334,7 +335,7 @@ def _with_outcomes(
 ) -> DataFrame:
     schema = T.StructType([
         *(docs.schema[name] for name in keep),
-        T.StructField("outcomes", T.ArrayType(T.LongType())),
+        T.StructField(COUNTS, T.ArrayType(T.LongType())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,24 +362,28 @@ def fit(docs: DataFrame, labels: DataFrame, chosen: Column, max_labelled: int =
     # Outcomes are small numbers, so this table has a bounded number of rows.
     counted = (
         _with_outcomes(texts, terms, harmless, ["toxic"])
-        .groupBy("outcomes")
+        .groupBy(COUNTS)
         .agg(F.sum(toxic).alias("toxic"), F.sum(1 - toxic).alias("other"))
     )
     return Model(terms, harmless, _fit([tuple(r) for r in counted.toLocalIterator()]))
 
 
+def _score(model: Model) -> Column:
+    total = F.lit(float(model.weights[0]))
+    for k, weight in enumerate(model.weights[1:].tolist()):
+        total = total + F.col(COUNTS)[k] * F.lit(weight)
+    return 1 / (1 + F.exp(-total))
+
+
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score``, 0 to 1. Only the text is looked at.
 
     Null, empty and wordless texts get the score of a text without matches. Equal texts get equal
     scores. ``keep`` names the columns to keep, all by default; one named ``score`` is replaced.
     """
-    keep = [name for name in (keep or docs.columns) if name not in ("score", "outcomes")]
+    keep = [name for name in (docs.columns if keep is None else keep) if name != "score"]
     found = _with_outcomes(docs, model.terms, model.harmless, keep)
-    total = F.lit(float(model.weights[0]))
-    for k, weight in enumerate(model.weights[1:].tolist()):
-        total = total + F.col("outcomes")[k] * F.lit(weight)
-    return found.select(*keep, (1 / (1 + F.exp(-total))).alias("score"))
+    return found.select(*keep, _score(model).alias("score"))
 
 
 def in_training(doc_id: Column) -> Column:
@@ -387,9 +392,9 @@ def in_training(doc_id: Column) -> Column:
 
 
 def clean_documents(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
 ) -> DataFrame:
     """The rows that score below the threshold, with all their columns."""
     model = fit(docs, labels, in_training(F.col("doc_id")))
-    names = docs.columns
-    return score(docs, model).where(F.col("score") < threshold).select(*names)
+    found = _with_outcomes(docs, model.terms, model.harmless, docs.columns)
+    return found.where(_score(model) < threshold).select(*docs.columns)
