@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgertag.llm import decontaminate, packing, secret_scan, simhash, toxicity
+from ledgertag.llm import decontaminate, grid_join, packing, secret_scan, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op2_randomness_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op4_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trained = toxicity.in_training(F.col("doc_id"))
@@ -66,6 +70,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_randomness_tests": op2_randomness_tests,
+    "op3_grid_order_join": op3_grid_order_join,
     "op4_clause_grammar": op4_clause_grammar,
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
