@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgertag.llm import decontaminate, grid_join, packing, secret_scan, simhash, toxicity
+from ledgertag.llm import decontaminate, grid_join, packing, secret_scan, simhash, substring, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op4_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op2_randomness_tests": op2_randomness_tests,
     "op3_grid_order_join": op3_grid_order_join,
     "op4_clause_grammar": op4_clause_grammar,
+    "op5_fixed_block_anchors": op5_fixed_block_anchors,
     "op6_covering_simhash": op6_covering_simhash,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
