@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgertag.llm import decontaminate, grid_join, packing, secret_scan, simhash, substring, toxicity
+from ledgertag.llm import (
+    decontaminate,
+    grid_join,
+    licenses,
+    packing,
+    secret_scan,
+    separators,
+    simhash,
+    substring,
+    toxicity,
+    training_order,
+)
+from ledgertag.llm.storage import stage
+from ledgertag.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the shards, a row for each sequence of all documents."""
+    return training_order.materialize(table(spark, sf_dir, "documents"))
+
+
 def op2_randomness_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -51,6 +69,19 @@ def op6_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in the flat files that all documents are written to."""
+    folder = scratch_path(spark, "flat")
+    written = separators.write_flat(table(spark, sf_dir, "documents"), folder)
+    places = stage(written, "places")
+    counts = separators.token_counts(spark, folder)
+    return places.join(counts, ["file", "number"]).select("doc_id", "n_tokens")
+
+
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.packed(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -73,11 +104,14 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_training_order": op1_training_order,
     "op2_randomness_tests": op2_randomness_tests,
     "op3_grid_order_join": op3_grid_order_join,
     "op4_clause_grammar": op4_clause_grammar,
     "op5_fixed_block_anchors": op5_fixed_block_anchors,
     "op6_covering_simhash": op6_covering_simhash,
+    "op7_separator_scan": op7_separator_scan,
+    "op8_license_dice": op8_license_dice,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
     "pipeline": corpus_pipeline.run,
