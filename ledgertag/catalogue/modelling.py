@@ -16,6 +16,7 @@ from ledgertag.domain import (
     TaxRule,
 )
 from ledgertag.functions.text import (
+    bind,
     clean_text,
     one_and_two_grams,
     split_tokens,
@@ -114,7 +115,7 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = split_tokens(clean_text(F.col("text")))
+    tokens = bind(clean_text(F.col("text")), split_tokens)
     rows = documents(spark, sf_dir).select("doc_id", tokens.alias("tokens"))
     return rows.select(
         "doc_id", F.size("tokens").alias("n_tokens"),
@@ -131,7 +132,7 @@ def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def text_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grams = one_and_two_grams(split_tokens(clean_text(F.col("text"))))
+    grams = one_and_two_grams(bind(clean_text(F.col("text")), split_tokens))
     rows = documents(spark, sf_dir).select("doc_id", grams.alias("grams"))
     return rows.select(
         "doc_id", F.size("grams").alias("n_grams"),
@@ -596,7 +597,7 @@ def indicators_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def label_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Threshold and label names straight from the similarities, without any rule before."""
+    """Similarity and conflict rules, then threshold and label names."""
     scored = model(spark, sf_dir).similarities(t.transactions(spark, sf_dir))
     flags = indicators(F.col("similarities"))
     rows = eliminate_conflicts(apply_similarity_rules(scored)).withColumn("flags", flags)

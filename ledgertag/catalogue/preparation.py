@@ -37,7 +37,6 @@ from ledgertag.operators.feedback import (
 from ledgertag.operators.sampling import (
     sample_per_stratum,
     sample_to_size,
-    sample_with_spark,
     split_by_class,
     stratum_ratios,
 )
@@ -88,8 +87,11 @@ def load_project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("csv_source", "SELECT n_nationkey, n_name AS nation, n_regionkey FROM nation")
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written with its columns in another order and one more; read by name."""
     folder = scratch_path(spark, "nation")
-    t.read(spark, sf_dir, "nation").write.option("header", "true").csv(folder)
+    nations = t.read(spark, sf_dir, "nation")
+    shuffled = nations.select("n_regionkey", F.lit("x").alias("extra"), "n_name", "n_nationkey")
+    shuffled.write.option("header", "true").csv(folder)
     return load_table(spark, NATION, f"{folder}/*.csv")
 
 
@@ -338,12 +340,6 @@ def sample_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("user_id", "account_id", "transaction_id", day(), "amount")
 
 
-@query("sample_fraction_spark")
-def sample_fraction_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark's own seeded sample: which rows it keeps depends on the partitioning."""
-    return sample_with_spark(t.read(spark, sf_dir, "lineitem"), 20_000)
-
-
 @query(
     "stratum_ratios",
     sql(
@@ -508,7 +504,7 @@ def feedback_outer_nullsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The label list as counted text: what the row id is made of.
 COUNTED_SQL = """
-    (SELECT array_to_string(list(label || '*' || n ORDER BY label), ',')
+    (SELECT array_to_string(list(length(label) || ':' || label || '*' || n ORDER BY label), ',')
      FROM (SELECT label, count(*) AS n
            FROM (SELECT unnest(target_label) AS label) GROUP BY label))"""
 

@@ -30,7 +30,7 @@ CONFIG = TrainingSetConfig(
     nl_start=dt.date(1995, 6, 1),
     end=dt.date(2000, 12, 31),
     n_labels_feedback=40,
-    n_categories_feedback=500,
+    n_categories_feedback=120,
     n_validation=5,
     n_test=8,
     nl_site_ids=SITES,
@@ -239,7 +239,8 @@ def sql_in(names: list[str]) -> str:
 def sql_text(columns: list[str]) -> str:
     """The text that digests are made of."""
     return "concat_ws('|', " + ", ".join(
-        f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns
+        f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')"
+        for c in columns
     ) + ")"
 
 

@@ -9,9 +9,14 @@ NULL_TEXT = "~"
 
 
 def row_text(columns: list[str | Column]) -> Column:
-    """The columns as one text, with nulls kept apart from empty strings."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit(NULL_TEXT)) for p in parts])
+    """The columns as one text that no other values have: each with its length, or the null mark."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.concat_ws("|", *[F.coalesce(measured(t), F.lit(NULL_TEXT)) for t in texts])
+
+
+def measured(text: Column) -> Column:
+    """The text after its length, so that it can be told where it ends."""
+    return F.concat(F.length(text).cast("string"), F.lit(":"), text)
 
 
 def row_digest(columns: list[str | Column], seed: int | None = None) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.domain import GENERAL, HASHED_KEY, LABELS, MODEL_INPUTS
-from ledgertag.functions.hashing import row_digest
+from ledgertag.functions.hashing import measured, row_digest
 from ledgertag.operators.copies import collapse_copies, repeat_rows
 
 ROW_ID = "unique_transaction_id"
@@ -47,7 +47,7 @@ def feedback_outer(
 def labels_text(counts: Column) -> Column:
     """Counted labels as text, for digests."""
     entry = F.transform(
-        counts, lambda e: F.concat(e["label"], F.lit("*"), e["copies"].cast("string"))
+        counts, lambda e: F.concat(measured(e["label"]), F.lit("*"), e["copies"].cast("string"))
     )
     return F.array_join(entry, ",")
 
@@ -84,23 +84,24 @@ def label_table(df: DataFrame) -> DataFrame:
 def long_targets(wide: DataFrame, distinct: bool = False) -> DataFrame:
     """One row per category and one per label, with label ids; unknown labels have none.
 
-    Category and labels of a row are put into one array, so the frame is read once. Repeated
-    labels give repeated rows, unless ``distinct``.
+    Category and labels of a row are put into one array. Repeated labels give repeated rows,
+    unless ``distinct``; a label that was given very often is repeated in pieces, by many tasks.
     """
-    category = F.array(F.struct(F.col("target_category").alias("label"), F.lit(1).alias("n")))
+    category = F.array(F.struct(F.col("target_category").alias("label"), F.lit(1).cast("bigint").alias("n")))
     entry = F.transform(
         "label_counts",
         lambda e: F.struct(
             e["label"].alias("label"),
-            (F.lit(1) if distinct else e["copies"].cast("int")).alias("n"),
+            (F.lit(1) if distinct else e["copies"]).cast("bigint").alias("n"),
         ),
     )
-    targets = F.concat(category, F.coalesce(entry, F.array().cast("array<struct<label:string,n:int>>")))
+    targets = F.concat(category, F.coalesce(entry, F.array().cast("array<struct<label:string,n:bigint>>")))
     kept = [c for c in wide.columns if c not in ("target_category", "label_counts")]
     single = wide.select(*kept, F.explode(targets).alias("target"))
-    repeated = single.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("target.n"))))
-    rows = repeated.select(*kept, F.col("target.label").alias("target_label"))
-    return with_label_ids(rows)
+    rows = single.select(*kept, "target.label", "target.n").withColumnRenamed("label", "target_label")
+    if distinct:
+        return with_label_ids(rows.drop("n"))
+    return with_label_ids(repeat_rows(rows, "n", "_number").drop("_number"))
 
 
 def with_label_ids(df: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ partitioning or retries, and equal rows are drawn each on their own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +18,10 @@ from ledgertag.session import BROADCAST_ROWS, bounded_side, materialize
 FRACTION_SEED = 123
 STRATUM_SEED = 42
 SPLIT_SEED = 42
-BUCKET_DIGITS = 3  # hexadecimal digits: 4,096 buckets per class
+BUCKET_DIGITS = 3  # hexadecimal digits: 4,096 buckets per class, and as many again in each
+DIGEST_DIGITS = 32
+ROWS_PER_CUT = 1_000_000  # rows that one task sorts to find a cut
+MAX_CLASSES = 1_000_000  # sizes of all classes are ranked in one task
 
 
 def _drawable(df: DataFrame, key: list[str] | None) -> tuple[DataFrame, list[str]]:
@@ -42,13 +47,6 @@ def sample_to_size(
     return rows.where(unit_draw(identity, seed) < ratio).select(*df.columns)
 
 
-def sample_with_spark(df: DataFrame, n_samples: int, seed: int = FRACTION_SEED) -> DataFrame:
-    """The same by Spark's own seeded sample, whose rows depend on the partitioning."""
-    rows = materialize(df)
-    size = rows.count()
-    return rows.sample(False, min(n_samples / size, 1.0) if size else 0.0, seed)
-
-
 def stratum_ratios(
     df: DataFrame, n_samples: int, strata: list[str], counted: str
 ) -> DataFrame:
@@ -86,12 +84,14 @@ def sample_per_stratum(
 def _shares(sizes: DataFrame, size: str, total: int, quota: str) -> DataFrame:
     """Divide ``total`` over classes by size: whole parts, then largest remainders."""
     everything = Window.partitionBy(F.lit(1))
-    whole = F.expr(f"{total} * {size} div all_rows")
+    # Products of two row counts don't fit into 64 bits.
+    product = f"CAST({total} AS DECIMAL(18, 0)) * CAST({size} AS DECIMAL(19, 0))"
+    whole = F.expr(f"{product} div CAST(all_rows AS DECIMAL(19, 0))")
     rest = F.col("remainder")
     return (
         sizes.withColumn("all_rows", F.sum(size).over(everything))
         .withColumn(quota, F.coalesce(whole, F.lit(0)).cast("bigint"))
-        .withColumn("remainder", F.expr(f"{total} * {size} % all_rows"))
+        .withColumn("remainder", F.expr(f"{product} % CAST(all_rows AS DECIMAL(19, 0))"))
         .withColumn("open", F.lit(total) - F.sum(quota).over(everything))
         .withColumn("place", F.row_number().over(everything.orderBy(rest.desc(), "class")))
         .withColumn(quota, F.col(quota) + (F.col("place") <= F.col("open")).cast("bigint"))
@@ -107,14 +107,15 @@ def split_by_class(
     key: str,
     seed: int = SPLIT_SEED,
     strict: bool = False,
+    rows_per_cut: int = ROWS_PER_CUT,
 ) -> DataFrame:
     """Add ``split``: exact totals for test and validation, every class in proportion.
 
     ``key`` must be unique. Within a class, rows are ordered by their digest; the first go to
     test, the next to validation, the rest to train. The two cut points of a class are found
     by counting rows per (class, digest prefix) and then looking only into the prefix where a
-    cut falls. So no class is sorted as a whole, and the frame itself is not shuffled: each
-    row is compared with the cuts of its class. Classes are counted before their cuts are
+    cut falls; a prefix with more than ``rows_per_cut`` rows is counted again by longer ones. So no class is sorted as a whole, and the frame itself is not shuffled: each
+    row is compared with the cuts of its class. Equal keys at a cut raise. Classes are counted before their cuts are
     sent to all rows.
     """
     drawn = df.select(
@@ -146,18 +147,20 @@ def split_by_class(
         & (F.col("end") > F.col("upto") - F.col("n")),
     ).select(
         "cut_class", F.col("bucket").alias("cut_bucket"), "cut",
-        (F.col("end") - F.col("upto") + F.col("n")).alias("nth"),
+        (F.col("end") - F.col("upto") + F.col("n")).alias("nth"), "n",
     )
     in_bucket = Window.partitionBy("cut_class", "cut").orderBy("digest")
-    nearby = drawn.join(
-        few(cuts),
-        F.col("class").eqNullSafe(F.col("cut_class"))
-        & (F.col("bucket") == F.col("cut_bucket")),
-    )
-    limits = (
+    alike = Window.partitionBy("cut_class", "cut", "digest")
+    nearby, cuts = _near_cuts(drawn, cuts, few, rows_per_cut)
+    at_cut = materialize(
         nearby.withColumn("place", F.row_number().over(in_bucket))
+        .withColumn("alike", F.count("*").over(alike))
         .where(F.col("place") == F.col("nth"))
-        .groupBy("cut_class")
+    )
+    if at_cut.where("alike > 1").limit(1).count():
+        raise ValueError(f"{key} is not unique, so the totals can't be exact")
+    limits = (
+        at_cut.groupBy("cut_class")
         .agg(*[
             F.max(F.when(F.col("cut") == name, F.col("digest"))).alias(f"{name}_end")
             for name in ("test", "validation")
@@ -176,12 +179,40 @@ def split_by_class(
     )
 
 
+def _near_cuts(
+    drawn: DataFrame, cuts: DataFrame, few: Callable[[DataFrame], DataFrame], most: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose digest begins like a cut, with prefixes long enough that they are few per cut."""
+    digits = BUCKET_DIGITS
+    while True:
+        cuts = materialize(cuts)
+        nearby = drawn.join(
+            few(cuts),
+            F.col("class").eqNullSafe(F.col("cut_class"))
+            & (F.substring("digest", 1, digits) == F.col("cut_bucket")),
+        )
+        largest = cuts.agg(F.max("n")).first()[0] or 0
+        if largest <= most or digits >= DIGEST_DIGITS:
+            return nearby, cuts
+        digits += BUCKET_DIGITS
+        finer = F.substring("digest", 1, digits).alias("cut_bucket")
+        counted = nearby.groupBy("cut_class", "cut", "nth", finer).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("cut_class", "cut").orderBy("cut_bucket"))
+        inside = (F.col("nth") <= F.col("upto")) & (F.col("nth") > F.col("upto") - F.col("n"))
+        cuts = counted.withColumn("upto", upto).where(inside).select(
+            "cut_class", "cut_bucket", "cut",
+            (F.col("nth") - F.col("upto") + F.col("n")).alias("nth"), "n",
+        )
+
+
 def check_split(sizes: DataFrame, n_validation: int, n_test: int, strict: bool) -> int:
     """Refuse totals the frame cannot give; ``strict`` also refuses classes too small to divide.
 
     Returns the number of classes, which bounds the tables of cuts.
     """
     rows, classes, smallest = sizes.agg(F.sum("size"), F.count("*"), F.min("size")).first()
+    if classes > MAX_CLASSES:
+        raise ValueError(f"{classes} classes; {MAX_CLASSES} are supported")
     if n_validation + n_test > (rows or 0):
         raise ValueError(
             f"{n_test} test and {n_validation} validation rows wanted, {rows or 0} present"

@@ -16,7 +16,7 @@ from ledgertag.domain import (
     TaxRule,
 )
 from ledgertag.operators.assemble import trainable_rows
-from ledgertag.operators.features import AmountScale, with_features
+from ledgertag.operators.features import INPUT_DEFAULTS, AmountScale, with_features
 from ledgertag.operators.rules import (
     apply_label_rules,
     apply_similarity_rules,
@@ -31,8 +31,10 @@ from ledgertag.operators.scoring import (
     with_similarities,
     with_transaction_vector,
 )
+from ledgertag.session import materialize
 
 VECTOR_SIZE = EMBEDDING_SIZE + N_NUMERIC
+KEPT = "_kept_columns"
 
 
 @dataclass(frozen=True)
@@ -44,8 +46,12 @@ class LabelModel:
 
     @staticmethod
     def fit(training: DataFrame) -> LabelModel:
-        """Fit on long labelled rows: range of amounts, then mean direction per label."""
-        rows = trainable_rows(training)
+        """Fit on long labelled rows: range of amounts, then mean direction per label.
+
+        Both passes read a table of the columns needed, so the input is computed once.
+        """
+        needed = [c for c in (*INPUT_DEFAULTS, "target_label") if c in training.columns]
+        rows = materialize(trainable_rows(training.select(*needed)))
         scale = AmountScale.fit(rows)
         vectors = with_transaction_vector(with_features(rows, scale))
         return LabelModel(
@@ -75,11 +81,15 @@ class LabelModel:
         keep: list[str] | None = None,
         threshold: float = SIMILARITY_THRESHOLD,
     ) -> DataFrame:
-        """Label sets. Only ``labels`` is returned, unless ``keep`` names more columns."""
-        flagged = self.indicators(df, threshold)
+        """Label sets. Only ``labels`` is returned, unless ``keep`` names more columns.
+
+        Kept columns come back as they were, also those that share a name with a feature.
+        """
+        kept = F.struct(*(keep or [])) if keep else F.lit(None)
+        flagged = self.indicators(df.withColumn(KEPT, kept), threshold)
         labelled = flagged.withColumn("labels", label_set(F.col("predicted")))
         result = apply_label_rules(labelled, tax_rules, test_prefix)
-        return result.select(*(keep or []), "labels")
+        return result.select(*(F.col(f"{KEPT}.`{name}`") for name in keep or []), "labels")
 
     def save(self, spark: SparkSession, path: str) -> None:
         low, high = self.scale.low, self.scale.high

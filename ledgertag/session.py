@@ -32,10 +32,13 @@ def build_session(app_name: str = "ledgertag", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent, as in local tests, a temporary folder takes its place.
+    Only where the setting is absent and all runs on one machine, as in tests, a temporary folder
+    takes its place. On a cluster every executor would see another one, so that raises.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not named:
         named = tempfile.mkdtemp(prefix="ledgertag-")
     if not context.getCheckpointDir():
@@ -49,9 +52,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a frame once, keep it on reliable storage and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute a frame once and go on from a parquet table in the shared folder.
+
+    Later steps read only the columns and row groups they need, and depend on no executor.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -54,7 +55,7 @@ TABLES: dict[str, TableSpec] = {
     "users": _flat(user_id_hashed=TEXT, country_code=TEXT),
     "test_users": _flat(user_id_hashed=TEXT),
     "accounts": _flat(
-        user_id_hashed=TEXT, account_id_hashed=TEXT, deleted=T.BooleanType(), site_id=TEXT
+        user_id_hashed=TEXT, account_id_hashed=TEXT, deleted=TEXT, site_id=TEXT
     ),
     "transactions": _flat(
         user_id=TEXT, account_id=TEXT, transaction_id=TEXT, date=T.DateType(), pending=INT,
@@ -101,9 +102,52 @@ TRAINING_SET_TABLES = [
 ]
 
 
-def select_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Project to the table's columns, in order, under their new names."""
-    return df.select(*spec.columns).withColumnsRenamed(spec.aliases)
+@dataclass(frozen=True)
+class Source:
+    """Where a table lies. Without a format it is guessed from the suffix of the path."""
+
+    path: str | list[str]
+    file_format: str | None = None
+    options: dict[str, str] = field(default_factory=dict)
+
+
+def strict_cast(value: Column, kind: T.DataType, name: str, date_format: str | None = None) -> Column:
+    """Cast, but raise on a value that has no counterpart instead of making it null."""
+    if date_format and isinstance(kind, T.DateType):
+        found = F.try_to_date(value, date_format)
+    elif date_format and isinstance(kind, T.TimestampType):
+        found = F.try_to_timestamp(value, F.lit(date_format))
+    else:
+        found = value.try_cast(kind)
+    text = F.concat(F.lit(f"{name}: not a {kind.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNull() | found.isNotNull(), found).otherwise(F.raise_error(text).cast(kind))
+
+
+def _type_of(schema: T.StructType, path: str) -> T.DataType | None:
+    """The type of a column or nested field, or None if the schema doesn't have it."""
+    kind: T.DataType = schema
+    for name in path.split("."):
+        if not isinstance(kind, T.StructType) or name not in kind.names:
+            return None
+        kind = kind[name].dataType
+    return kind
+
+
+def select_columns(
+    df: DataFrame, spec: TableSpec, formats: dict[type, str] | None = None
+) -> DataFrame:
+    """Project to the table's columns by name, in order, with declared types and new names."""
+    missing = [c for c in spec.columns if _type_of(df.schema, c) is None]
+    if missing:
+        raise ValueError(f"columns are missing: {', '.join(missing)}")
+    chosen = []
+    for path in spec.columns:
+        declared, name = _type_of(spec.schema, path), path.split(".")[-1]
+        value = F.col(path)
+        if declared is not None and declared != _type_of(df.schema, path):
+            value = strict_cast(value, declared, path, (formats or {}).get(type(declared)))
+        chosen.append(value.alias(name))
+    return df.select(*chosen).withColumnsRenamed(spec.aliases)
 
 
 def load_table(
@@ -115,18 +159,31 @@ def load_table(
 ) -> DataFrame:
     """Read a file, glob or partitioned folder. Only the wanted columns are read.
 
-    Text formats get the declared schema (no inference pass over the data). Parquet and ORC
-    carry their own, and folders like ``year=2020`` become partition columns.
+    Columns are found by name in every format; one that is missing is an error, others are left
+    out. CSV with a header is read as text and cast to the declared types, parquet and ORC where
+    their types differ; a value that can't be cast fails the job. JSON gets the declared schema
+    and fails on records that don't fit it. Without a header (``header="false"``) CSV columns are
+    taken by position. Folders like ``year=2020`` become partition columns.
     """
     if isinstance(spec, str):
         spec = TABLES[spec]
     kind = file_format or guess_format(path)
     reader = spark.read.format(kind).options(**options)
+    formats = {}
     if kind == "csv":
-        reader = reader.option("header", options.get("header", "true"))
-    if kind in ("csv", "json"):
-        reader = reader.schema(spec.schema)
-    return select_columns(reader.load(path), spec)
+        formats = {
+            t: options[o]
+            for t, o in ((T.DateType, "dateFormat"), (T.TimestampType, "timestampFormat"))
+            if o in options
+        }
+        if options.get("header", "true").lower() == "true":
+            # Files whose header differs from the first one are refused.
+            reader = reader.option("header", "true").option("enforceSchema", "false")
+        else:
+            reader = reader.schema(T.StructType([T.StructField(c, TEXT) for c in spec.columns]))
+    if kind == "json":
+        reader = reader.schema(spec.schema).option("mode", options.get("mode", "FAILFAST"))
+    return select_columns(reader.load(path), spec, formats)
 
 
 def guess_format(path: str | list[str]) -> str:
@@ -137,6 +194,20 @@ def guess_format(path: str | list[str]) -> str:
     return "parquet"
 
 
-def load_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """All tables of the training-set job, by name."""
-    return {name: load_table(spark, name, paths[name]) for name in TRAINING_SET_TABLES}
+def load_tables(
+    spark: SparkSession, paths: dict[str, str | list[str] | Source]
+) -> dict[str, DataFrame]:
+    """All tables of the training-set job, by name; a ``Source`` names format and options."""
+    sources = {
+        name: at if isinstance(at, Source) else Source(at)
+        for name, at in paths.items()
+        if name in TRAINING_SET_TABLES
+    }
+    if absent := [name for name in TRAINING_SET_TABLES if name not in sources]:
+        raise KeyError(f"no path for {', '.join(absent)}")
+    return {
+        name: load_table(
+            spark, name, sources[name].path, sources[name].file_format, **sources[name].options
+        )
+        for name in TRAINING_SET_TABLES
+    }

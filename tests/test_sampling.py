@@ -5,9 +5,9 @@ from conftest import rows
 from ledgertag.operators import copies
 from ledgertag.operators.copies import number_copies, repeat_rows
 from ledgertag.operators.sampling import (
+    _shares,
     sample_per_stratum,
     sample_to_size,
-    sample_with_spark,
     split_by_class,
 )
 
@@ -16,8 +16,6 @@ def test_small_frames_are_kept_whole(spark):
     df = spark.range(50)
     assert sample_to_size(df, 50).count() == 50
     assert sample_to_size(df.where("id < 0"), 50).count() == 0
-    assert sample_with_spark(df, 100).count() == 50
-    assert sample_with_spark(df.where("id < 0"), 5).count() == 0
 
 
 def test_sample_size_and_independence_of_partitioning(spark):
@@ -93,3 +91,22 @@ def test_split_refuses_impossible_totals(spark):
         split_by_class(df, 15, 6, "class_name", "id")
     with pytest.raises(ValueError, match="classes"):
         split_by_class(df, 2, 2, "class_name", "id", strict=True)
+
+
+def test_a_cut_in_a_large_prefix_is_looked_for_with_longer_ones(spark):
+    df = split_frame(spark)
+    whole = split_by_class(df, 100, 333, "class_name", "id")
+    fine = split_by_class(df, 100, 333, "class_name", "id", rows_per_cut=0)
+    assert rows(whole) == rows(fine)
+
+
+def test_split_refuses_repeated_keys_at_a_cut(spark):
+    df = spark.range(100).selectExpr("id % 2 AS id", "'a' AS class_name")
+    with pytest.raises(ValueError, match="unique"):
+        split_by_class(df, 0, 10, "class_name", "id")
+
+
+def test_quotas_of_large_classes_do_not_overflow(spark):
+    sizes = spark.createDataFrame([("a", 10**11), ("b", 3 * 10**11)], "class string, size long")
+    found = rows(_shares(sizes, "size", 10**8, "quota").select("class", "quota"))
+    assert found == [("a", 25_000_000), ("b", 75_000_000)]
