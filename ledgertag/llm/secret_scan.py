@@ -37,6 +37,7 @@ RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 FALSE_SHARE = 0.1
 STEPS = 200
 MARK = "[SECRET]"
+OWN = "_secret_scan_"  # columns on the way to the redacted text
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 # Name, which strings are taken to be in it, alphabet; the first that fits counts. An encoding asks
@@ -58,24 +59,24 @@ def _located(text: Column, pattern: str, value_group: int = 0) -> Column:
 
     What the pattern splits off and what it matches take turns, so their lengths give the places.
     """
-    gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = whole if value_group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
-    parts = F.arrays_zip(
-        F.slice(gaps, 1, F.greatest(F.size(whole), F.lit(0))).alias("gap"),
-        whole.alias("whole"),
-        value.alias("value"),
-    )
+    values = [whole.alias("whole")]
+    if value_group:
+        values.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)).alias("value"))
+    # There is one gap more than there are matches; the last entry has no match and goes.
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), *values)
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     first = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
     def further(done: Column, part: Column) -> Column:
         start = done["at"] + F.length(part["gap"])
         end = start + F.length(part["whole"])
-        span = F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value"))
+        value = part["value" if value_group else "whole"]
+        span = F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
         return F.struct(end.alias("at"), F.concat(done["found"], F.array(span)).alias("found"))
 
-    return F.aggregate(parts, first, further, lambda done: done["found"])
+    found = F.aggregate(parts, first, further, lambda done: done["found"])
+    return F.filter(found, lambda x: x["value"].isNotNull())
 
 
 def _none() -> Column:
@@ -101,56 +102,113 @@ def _tail(z: Column) -> Column:
     return F.greatest(1 / (1 + F.exp(1.5976 * z + 0.070566 * z * z * z)), F.lit(1e-12))
 
 
-def _probability(codes: Column, size: Column) -> Column:
-    """Joint tail probability of the three tests for numbers 0 to size - 1, if uniform."""
-    n = F.size(codes).cast("double")
-    size = size.cast("double")
-    counts = F.transform(
-        F.array_distinct(codes), lambda c: F.size(F.filter(codes, lambda x: x == c)).cast("double")
-    )
-    squares = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x * x)
-    chi = size / n * squares - n
-    uniformity = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
-    pairs = F.arrays_zip(
-        F.slice(codes, 1, F.size(codes) - 1).alias("a"), F.slice(codes, 2, F.size(codes) - 1).alias("b")
-    )
-    middle = (size - 1) / 2
-    turns = F.size(F.filter(pairs, lambda p: (p["a"] > middle) != (p["b"] > middle)))
-    runs = F.abs(turns - (n - 1) / 2) / F.sqrt((n - 1) / 4)
-    products = F.aggregate(
-        pairs, F.lit(0.0), lambda a, p: a + (p["a"] - middle) * (p["b"] - middle)
+def _candidates(text: Column) -> Column:
+    """Runs of characters of common encodings, without padding, as long as they are found."""
+    found = F.transform(
+        _located(text, RUN),
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            F.rtrim(x["value"], F.lit("=")).alias("value"),
+        ),
     )
-    serial = F.abs(products) / (F.sqrt(n - 1) * (size * size - 1) / 12)
-    logs = F.log(_tail(uniformity)) + F.log(2 * _tail(runs)) + F.log(2 * _tail(serial))
-    half = F.greatest(-logs, F.lit(0.0))
-    return F.exp(-half) * (1 + half + half * half / 2)
-
-
-def _tested(text: Column) -> Column:
-    """Candidates with their stratum and probability; strings of no testable encoding are left out."""
-
-    def test(found: Column) -> Column:
-        value = F.rtrim(found["value"], F.lit("="))
-        name, alphabet = F.lit(None).cast("string"), F.lit(None).cast("string")
-        for encoding, pattern, letters in reversed(ENCODINGS):
-            fits = value.rlike(pattern)
-            name = F.when(fits, F.lit(encoding)).otherwise(name)
-            alphabet = F.when(fits, F.lit(letters)).otherwise(alphabet)
-        places = F.sequence(F.lit(1), F.length(value))
+    return F.when(text.rlike(RUN), found).otherwise(_none())
+
+
+def _encoded(candidates: Column) -> Column:
+    """Candidates of an encoding that can be tested: with its name and its size, and the characters
+    as numbers below that size."""
+
+    def infer(x: Column) -> Column:
+        chosen = F.lit(None).cast("struct<name:string,letters:string>")
+        for name, pattern, letters in reversed(ENCODINGS):
+            entry = F.struct(F.lit(name).alias("name"), F.lit(letters).alias("letters"))
+            chosen = F.when(x["value"].rlike(pattern), entry).otherwise(chosen)
+        return F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), chosen.alias("encoding")
+        )
+
+    def number(x: Column) -> Column:
+        letters = x["encoding"]["letters"]
+        places = F.sequence(F.lit(1), F.length(x["value"]))
         codes = F.transform(
-            places, lambda i: F.call_function("instr", alphabet, F.substr(value, i, F.lit(1))) - 1
+            places,
+            lambda i: F.call_function("instr", letters, F.substr(x["value"], i, F.lit(1))).cast("double") - 1,
         )
-        band = F.floor(F.log2(F.length(value))).cast("string")
+        band = F.floor(F.log2(F.length(x["value"]))).cast("string")
         return F.struct(
-            found["start"].alias("start"),
-            found["end"].alias("end"),
-            F.concat_ws(":", name, band).alias("stratum"),
-            F.when(name.isNotNull(), _probability(codes, F.length(alphabet))).alias("p"),
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            F.concat_ws(":", x["encoding"]["name"], band).alias("stratum"),
+            F.length(letters).cast("double").alias("size"),
+            codes.alias("codes"),
         )
 
-    tested = F.transform(_located(text, RUN), test)
-    none = F.array().cast("array<struct<start:int,end:int,stratum:string,p:double>>")
-    return F.when(text.rlike(RUN), F.filter(tested, lambda x: x["p"].isNotNull())).otherwise(none)
+    known = F.filter(F.transform(candidates, infer), lambda x: x["encoding"].isNotNull())
+    return F.transform(known, number)
+
+
+def _measured(encoded: Column) -> Column:
+    """The three statistics of each candidate."""
+
+    def measure(x: Column) -> Column:
+        codes, middle = x["codes"], (x["size"] - 1) / 2
+        counts = F.transform(
+            F.array_distinct(codes), lambda c: F.size(F.filter(codes, lambda y: y == c)).cast("double")
+        )
+        pairs = F.zip_with(
+            F.slice(codes, 1, F.size(codes) - 1),
+            F.slice(codes, 2, F.size(codes) - 1),
+            lambda a, b: F.struct((a - middle).alias("a"), (b - middle).alias("b")),
+        )
+        sums = F.aggregate(
+            pairs,
+            F.struct(F.lit(0.0).alias("turns"), F.lit(0.0).alias("products")),
+            lambda done, p: F.struct(
+                (done["turns"] + ((p["a"] > 0) != (p["b"] > 0)).cast("double")).alias("turns"),
+                (done["products"] + p["a"] * p["b"]).alias("products"),
+            ),
+        )
+        return F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            x["stratum"].alias("stratum"),
+            x["size"].alias("size"),
+            F.size(codes).cast("double").alias("n"),
+            F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c).alias("squares"),
+            sums.alias("sums"),
+        )
+
+    return F.transform(encoded, measure)
+
+
+def _tested(measured: Column) -> Column:
+    """Candidates with the joint tail probability of the three tests, if they were uniform."""
+
+    def logs(x: Column) -> Column:
+        n, size = x["n"], x["size"]
+        chi = size / n * x["squares"] - n
+        uniformity = (chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
+        runs = F.abs(x["sums"]["turns"] - (n - 1) / 2) / F.sqrt((n - 1) / 4)
+        serial = F.abs(x["sums"]["products"]) / (F.sqrt(n - 1) * (size * size - 1) / 12)
+        total = F.log(_tail(uniformity)) + F.log(2 * _tail(runs)) + F.log(2 * _tail(serial))
+        return F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            x["stratum"].alias("stratum"),
+            F.greatest(-total, F.lit(0.0)).alias("half"),
+        )
+
+    def joint(x: Column) -> Column:
+        half = x["half"]
+        return F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            x["stratum"].alias("stratum"),
+            (F.exp(-half) * (1 + half + half * half / 2)).alias("p"),
+        )
+
+    return F.transform(F.transform(measured, logs), joint)
 
 
 def _text(docs: DataFrame) -> Column:
@@ -158,7 +216,8 @@ def _text(docs: DataFrame) -> Column:
 
 
 def _scanned(docs: DataFrame) -> dict[str, Column]:
-    return _base(_text(docs)) | {"candidates": _tested(_text(docs))}
+    """One column function after the other, so that none is computed twice."""
+    return _base(_text(docs)) | {"candidates": _tested(_measured(_encoded(_candidates(_text(docs)))))}
 
 
 def limits(candidates: DataFrame, false_share: float = FALSE_SHARE) -> dict[str, float]:
@@ -184,26 +243,30 @@ def limits(candidates: DataFrame, false_share: float = FALSE_SHARE) -> dict[str,
     return found
 
 
-def _spans(base: dict[str, Column], candidates: Column, chosen: dict[str, float]) -> tuple[Column, Column]:
-    """All base spans and all spans, each sorted by start and kind."""
-    kind = {name: F.lit(k) for k, name in enumerate(KINDS)}
+def _of(kind: str, found: Column) -> Column:
+    number = F.lit(KINDS.index(kind))
+    return F.transform(
+        found,
+        lambda x: F.struct(x["start"].alias("start"), number.alias("kind"), x["end"].alias("end")),
+    )
 
-    def of(name: str, found: Column) -> Column:
-        return F.transform(
-            found,
-            lambda x: F.struct(x["start"].alias("start"), kind[name].alias("kind"), x["end"].alias("end")),
-        )
 
-    fixed = F.concat(*(of(name, base[name]) for name in KINDS[:3]))
-    if chosen:
-        limit = F.create_map(*(F.lit(v) for pair in sorted(chosen.items()) for v in pair))
-        new = F.filter(
-            candidates,
-            lambda x: (x["p"] >= F.try_element_at(limit, x["stratum"]))
-            & ~F.exists(fixed, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-        )
-        return F.array_sort(fixed), F.array_sort(F.concat(fixed, of("random", new)))
-    return F.array_sort(fixed), F.array_sort(fixed)
+def _fixed(base: dict[str, Column]) -> Column:
+    """All base spans by start and kind."""
+    return F.array_sort(F.concat(*(_of(name, base[name]) for name in KINDS[:3])))
+
+
+def _spans(fixed: Column, candidates: Column, chosen: dict[str, float]) -> Column:
+    """The base spans and the random strings that don't touch them."""
+    if not chosen:
+        return fixed
+    limit = F.create_map(*(F.lit(v) for pair in sorted(chosen.items()) for v in pair))
+    new = F.filter(
+        candidates,
+        lambda x: (x["p"] >= F.try_element_at(limit, x["stratum"]))
+        & ~F.exists(fixed, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+    )
+    return F.array_sort(F.concat(fixed, _of("random", new)))
 
 
 def _listed(spans: Column) -> Column:
@@ -232,8 +295,8 @@ def scan(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """
     found = stage(docs.select("doc_id", *(c.alias(n) for n, c in _scanned(docs).items())), "secrets")
     chosen = limits(found, false_share)
-    base, spans = _spans({n: F.col(n) for n in KINDS[:3]}, F.col("candidates"), chosen)
-    spread = found.select("*", base.alias("base"), spans.alias("spans"))
+    spread = found.withColumn("base", _fixed({n: F.col(n) for n in KINDS[:3]}))
+    spread = spread.withColumn("spans", _spans(F.col("base"), F.col("candidates"), chosen))
     return spread.select(
         "doc_id",
         *KINDS[:3],
@@ -249,10 +312,14 @@ def redact(docs: DataFrame, mark: str = MARK, false_share: float = FALSE_SHARE)
 
     Texts without secrets, null ones too, stay as they are, and so do all other columns.
     """
-    candidates = stage(docs.select(_tested(_text(docs)).alias("candidates")), "candidates")
+    candidates = stage(docs.select(_scanned(docs)["candidates"].alias("candidates")), "candidates")
     chosen = limits(candidates, false_share)
-    scanned = _scanned(docs)
-    _, spans = _spans({n: scanned[n] for n in KINDS[:3]}, scanned["candidates"], chosen)
+    # Each step is a projection of its own, so the matches are looked for once.
+    names = docs.columns
+    steps = docs.withColumns({f"{OWN}{name}": found for name, found in _scanned(docs).items()})
+    base = {name: F.col(f"{OWN}{name}") for name in KINDS[:3]}
+    steps = steps.withColumn(f"{OWN}fixed", _fixed(base))
+    steps = steps.withColumn(f"{OWN}spans", _spans(F.col(f"{OWN}fixed"), F.col(f"{OWN}candidates"), chosen))
     text = _text(docs)
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -270,10 +337,10 @@ def redact(docs: DataFrame, mark: str = MARK, false_share: float = FALSE_SHARE)
         )
 
     clean = F.aggregate(
-        spans, first, further, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1))
+        f"{OWN}spans", first, further, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1))
     )
-    names = docs.columns
-    out = docs.withColumn("text", F.when(docs["text"].isNull(), docs["text"]).otherwise(clean))
+    changed = docs["text"].isNotNull() & (F.size(f"{OWN}spans") > 0)
+    out = steps.withColumn("text", F.when(changed, clean).otherwise(docs["text"]))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*names)
