@@ -86,7 +86,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
     ``open_bins[g]`` is the number of sequences with room for g more tokens. Moving a bin from gap
     g to gap g - s changes the sum of the squared counts by 2 (open_bins[g-s] - open_bins[g] + 1);
-    gap 0 doesn't count. Among equal sums the smallest gap wins, and an open one before a new one.
+    gap 0 doesn't count. The open sequence with the smallest sum is taken, the tightest of equal ones.
+    A new sequence is opened only if no open one has room: the plain rule also opens one where that
+    alone makes the sum smaller, which took up to 5 percent more sequences.
     """
     open_bins = np.zeros(capacity + 1, np.int64)
     waiting: list[list[int]] = [[] for _ in range(capacity + 1)]
@@ -101,7 +103,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         change[0] = 1 - 2 * before[0]  # a full sequence counts no more
         change[before == 0] = np.iinfo(np.int64).max
         best = int(change.argmin())
-        if before[best] and change[best] <= (2 * rest[-1] + 1 if size < capacity else 0):
+        if before[best]:
             number = waiting[best + size].pop()
             open_bins[best + size] -= 1
         else:
