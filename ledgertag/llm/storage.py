@@ -38,14 +38,16 @@ def with_row_keys(docs: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches again, cut so that each part holds about SLICE_BYTES of text."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str, slice_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches again, cut so that each part holds about ``slice_bytes`` of text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
         size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        lot = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+        lot = np.cumsum(size, dtype=np.int64) // slice_bytes
         cuts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), batch.num_rows]
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             yield batch.slice(low, high - low)

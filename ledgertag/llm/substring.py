@@ -38,6 +38,8 @@ WINDOW = 13
 # Bytes of text whose blocks share a bucket, on average; more text means more buckets.
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 64
+# Bytes of text in a slice; a task holds some fifty bytes for each word of one slice at a time.
+SLICE_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 SLICE = ["slice_a", "slice_b"]
 
@@ -51,7 +53,7 @@ def _slices(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE_BYTES):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as writer:
                 writer.write_batch(batch)
@@ -180,8 +182,10 @@ def _block_answers(rows: pd.DataFrame) -> pd.DataFrame:
     ]
     different, which = np.unique(np.concatenate(values), return_inverse=True)
     aligned, several = np.concatenate(marks, axis=1)
-    times = np.bincount(which, 1 + several, len(different))
-    hit = (times > 1) & (np.bincount(which, aligned, len(different)) > 0)
+    anywhere, again = np.zeros(len(different), bool), np.bincount(which) > 1
+    anywhere[which[aligned.view(bool)]] = True
+    again[which[several.view(bool)]] = True
+    hit = anywhere & again
     return _answered(rows, hit[which], [len(v) for v in values])
 
 
