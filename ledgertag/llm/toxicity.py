@@ -315,7 +315,7 @@ def _fit(table: list[tuple]) -> np.ndarray:
     total = toxic + np.array([float(row[2]) for row in table])
     # Without labels: one match is enough, unless it is negated or reported.
     prior = np.array([-3.0, 4.0, 4.0, 1.0, 1.0, 5.0, 5.0])
-    strength = np.array([0.01] + [1.0] * len(OUTCOMES))
+    strength = np.ones(1 + len(OUTCOMES))  # as much as a few labels, so these alone don't undo the prior
     w = prior.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
