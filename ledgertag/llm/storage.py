@@ -16,13 +16,13 @@ from ledgertag.session import scratch_path
 SLICE_BYTES = 2 << 20
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write a frame as Parquet below the shared folder and read it back.
 
     Later steps start from the files, so a lost executor costs no more than their own tasks.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,6 +33,8 @@ LENGTH = 1024
 SHARD = 16_384
 ROUNDS = 8
 SEED = 20_240_607
+# Token ids are the bulk of what lies on disk at once, so their table is compressed harder.
+DENSE = {"parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20)}
 
 
 class Permutation:
@@ -86,7 +88,8 @@ def sequences(
 
     ``part`` and ``number`` tell the place; ``n_tokens`` is below ``length`` in the last of a part
     only; ``first_doc`` is the id of the document that the first token belongs to; ``ids`` holds
-    two bytes for each id, compressed. Null text is empty. Write the result to a table before use.
+    two bytes for each id, which a table compresses best as they are. Null text is empty. Write the
+    result to a table before use.
     """
     path = tokenizer or public_tokenizers.path(BYTE_BPE)
     schema = T.StructType([
@@ -99,7 +102,6 @@ def sequences(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last = byte_ids(path).encode, np.array([end], "<u2").tobytes()
-        packer = zstandard.ZstdCompressor(level=3)
         part, size = TaskContext.get().partitionId(), 2 * length
         rest, rest_doc, number = b"", None, 0
 
@@ -113,7 +115,7 @@ def sequences(
                     pa.array(numbers, pa.int64()),
                     pa.array([len(data) // 2 for _, data in found], pa.int64()),
                     pa.array([doc for doc, _ in found], kind),
-                    pa.array([packer.compress(data) for _, data in found], pa.binary()),
+                    pa.array([data for _, data in found], pa.binary()),
                 ],
                 names=schema.names,
             )
@@ -161,7 +163,7 @@ def materialize(
     rows give repeated sequences, and an empty table gives no files and no rows.
     """
     target = folder or scratch_path(docs.sparkSession, f"order-{uuid.uuid4().hex}")
-    cut = stage(sequences(docs, tokenizer, length, end), "sequences")
+    cut = stage(sequences(docs, tokenizer, length, end), "sequences", DENSE)
     # A row for each task that read the input, whatever the corpus holds.
     counts = dict(cut.groupBy("part").count().orderBy("part").toLocalIterator())
     base = dict(zip(counts, np.cumsum([0, *counts.values()]).tolist(), strict=False))
@@ -180,13 +182,17 @@ def materialize(
     ])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=9)  # for the shuffle
         for batch in batches:
             parts = column(batch, "part").to_numpy()
             own = np.array([base[p] for p in parts.tolist()], np.int64)
             number = own + column(batch, "number").to_numpy()
             slot = order.slots(number)
+            packed = [packer.compress(data) for data in column(batch, "ids").to_pylist()]
+            kept = [column(batch, f.name) for f in with_slots.fields[2:-1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(number), *batch.columns], names=with_slots.names
+                [pa.array(slot), pa.array(number), *kept, pa.array(packed, pa.binary())],
+                names=with_slots.names,
             )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
