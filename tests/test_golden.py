@@ -40,5 +40,5 @@ def test_rules_hold_on_the_golden_rows(predicted):
     assert not labels["1126"] - {"Salary"}
     assert labels["1111"] == {"Salary"}
     result = golden_check(predicted, "expected").first()
-    # Known failures: six of fifteen, since label vectors come without gradient training.
+    # Known failures: six of the fifteen, as measured.
     assert result.n_different == 6
