@@ -74,6 +74,21 @@ means.""",
 International License.""",
     "CC-BY-SA-4.0 notice": """This work is licensed under the Creative Commons Attribution-ShareAlike
 4.0 International License.""",
+    "CC-BY-NC-4.0 notice": """This work is licensed under the Creative Commons
+Attribution-NonCommercial 4.0 International License.""",
+    "CC-BY-ND-4.0 notice": """This work is licensed under the Creative Commons Attribution-NoDerivatives
+4.0 International License.""",
+    "CC-BY-NC-SA-4.0 notice": """This work is licensed under the Creative Commons
+Attribution-NonCommercial-ShareAlike 4.0 International License.""",
+    "CC-BY-NC-ND-4.0 notice": """This work is licensed under the Creative Commons
+Attribution-NonCommercial-NoDerivatives 4.0 International License.""",
+    "CC-BY-4.0 short": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0 short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-NC-4.0 short": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-ND-4.0 short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 short": "Licensed under CC BY-NC-ND 4.0.",
+    "Proprietary notice": "All rights reserved.",
 }
 
 

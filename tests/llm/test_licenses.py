@@ -60,3 +60,15 @@ def test_summary_and_empty_table(spark):
     rows = sorted(tuple(r) for r in licenses.summary(licenses.scan(frame)).select("doc_id", "n_matches", "licenses").collect())
     assert rows == [(1, 1, "Apache-2.0 notice"), (2, 0, ""), (2, 0, "")]
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_creative_commons_and_proprietary_lines(spark):
+    lines = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0 short",
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0 short",
+        "All rights reserved.": "Proprietary notice",
+        licenses.TEMPLATES["CC-BY-NC-SA-4.0 notice"]: "CC-BY-NC-SA-4.0 notice",
+    }
+    frame = spark.createDataFrame([(i, f"Some prose. {t} More prose.", 1) for i, t in enumerate(lines)], SCHEMA)
+    found = {r.doc_id: r.best_license for r in licenses.summary(licenses.scan(frame)).collect()}
+    assert found == dict(enumerate(lines.values()))
