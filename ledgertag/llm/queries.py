@@ -19,6 +19,7 @@ from ledgertag.llm import (
     substring,
     toxicity,
     training_order,
+    vector_codes,
 )
 from ledgertag.llm.storage import stage
 from ledgertag.session import scratch_path
@@ -103,6 +104,18 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_slice_intersect_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digits = [F.lpad(F.lower(F.hex(F.col("codes")[p])), 2, "0") for p in range(vector_codes.PARTS)]
+    return coded.select(
+        "vec_id",
+        F.concat(*digits).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.sha256).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_training_order": op1_training_order,
     "op2_randomness_tests": op2_randomness_tests,
@@ -114,6 +127,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_dice": op8_license_dice,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
+    "op13_slice_intersect_codes": op13_slice_intersect_codes,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {}
