@@ -13,6 +13,7 @@ from ledgertag.llm import (
     grid_join,
     licenses,
     packing,
+    quality,
     secret_scan,
     separators,
     simhash,
@@ -104,6 +105,18 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trained = quality.in_training(F.col("doc_id"))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), trained)
+    return quality.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        F.coalesce(~trained, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op13_slice_intersect_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
     digits = [F.lpad(F.lower(F.hex(F.col("codes")[p])), 2, "0") for p in range(vector_codes.PARTS)]
@@ -127,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_dice": op8_license_dice,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_winnowing": op10_winnowing,
+    "op12_bradley_terry_quality": op12_bradley_terry_quality,
     "op13_slice_intersect_codes": op13_slice_intersect_codes,
     "pipeline": corpus_pipeline.run,
 }
