@@ -30,6 +30,18 @@ def live_accounts(accounts: DataFrame) -> DataFrame:
     return accounts.where(F.col("deleted").isNull())
 
 
+def _since(first: dt.date, end: dt.date, mode: str) -> Column:
+    if mode not in ("compat", "range"):
+        raise ValueError(f"unknown mode {mode!r}")
+    if mode == "range":
+        return F.col("date").between(F.lit(first), F.lit(end))
+    return (
+        (F.col("year") >= first.year)
+        & (F.col("month") >= first.month)
+        & (F.col("year") <= end.year)
+    )
+
+
 def period_filter(
     start: dt.date, nl_start: dt.date, end: dt.date, mode: str = "compat"
 ) -> Column:
@@ -40,19 +52,14 @@ def period_filter(
     without a country fail either.
     """
     dutch = F.col("country_code") == "NL"
+    return (~dutch & _since(start, end, mode)) | (dutch & _since(nl_start, end, mode))
 
-    def since(first: dt.date) -> Column:
-        if mode == "range":
-            return F.col("date").between(F.lit(first), F.lit(end))
-        return (
-            (F.col("year") >= first.year)
-            & (F.col("month") >= first.month)
-            & (F.col("year") <= end.year)
-        )
 
-    if mode not in ("compat", "range"):
-        raise ValueError(f"unknown mode {mode!r}")
-    return (~dutch & since(start)) | (dutch & since(nl_start))
+def any_period(
+    start: dt.date, nl_start: dt.date, end: dt.date, mode: str = "compat"
+) -> Column:
+    """What every row within the period fulfils, whatever its country: transaction columns only."""
+    return _since(start, end, mode) | _since(nl_start, end, mode)
 
 
 def site_filter(site_ids: list[str]) -> Column:

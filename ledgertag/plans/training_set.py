@@ -8,9 +8,10 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgertag.domain import HASHED_KEY, MODEL_INPUTS, NL_SITE_IDS
+from ledgertag.domain import HASHED_KEY, MODEL_INPUTS, NL_SITE_IDS, PLAIN_KEY
 from ledgertag.operators.assemble import ROW_ID, long_targets, wide_rows
 from ledgertag.operators.eligibility import (
+    any_period,
     eligible_transactions,
     eligible_users,
     live_accounts,
@@ -22,6 +23,7 @@ from ledgertag.operators.feedback import (
     latest_feedback,
     union_feedback,
 )
+from ledgertag.operators.reducers import KeySet, maybe_among
 from ledgertag.operators.sampling import sample_to_size, split_by_class
 from ledgertag.session import materialize
 from ledgertag.sources.sinks import run_metadata, write_metadata, write_splits
@@ -72,37 +74,42 @@ class TrainingSetConfig:
 def labelled_rows(tables: dict[str, DataFrame], config: TrainingSetConfig) -> DataFrame:
     """One wide row per eligible transaction with feedback.
 
-    Transactions are by far the largest table, and few of them have feedback. So each kind of
-    feedback is reduced to one row per transaction and joined with the raw transactions first;
-    users and accounts are joined to what is left. Inner joins can be swapped, so the rows are
-    those of the eligible transactions joined with feedback.
+    Transactions are by far the largest table, few of them have feedback, and both kinds of feedback
+    are about the same transactions. So each kind is reduced to one row per transaction first, and the
+    raw transactions are scanned once, keeping what lies in the period and may have feedback of either
+    kind. Users and accounts are joined to those, and that narrow table meets both kinds.
     """
     users = eligible_users(tables["users"], tables["test_users"])
     accounts = live_accounts(tables["accounts"])
+    transactions = tables["transactions"]
 
-    def eligible(rows: DataFrame) -> DataFrame:
-        return eligible_transactions(
-            users, accounts, rows, config.start, config.nl_start, config.end,
-            config.nl_site_ids, config.period_mode,
+    latest = materialize(
+        latest_feedback(union_feedback(*[tables[name] for name in CATEGORY_TABLES], distinct=False))
+    )
+    per_transaction = materialize(
+        labels_per_transaction(
+            tables["historical_labels_feedback"], users, config.n_labels_feedback,
+            config.conflicts_first,
         )
-
-    inputs = [*HASHED_KEY, *MODEL_INPUTS, "country_code"]
-    latest = latest_feedback(
-        union_feedback(*[tables[name] for name in CATEGORY_TABLES], distinct=False)
     )
-    categories = eligible(join_latest(latest, tables["transactions"])).select(
-        *inputs, "target_category"
+    needed = list(dict.fromkeys([*PLAIN_KEY, *HASHED_KEY, *MODEL_INPUTS, "month", "year"]))
+    period = (config.start, config.nl_start, config.end)
+    some = maybe_among(
+        transactions.select(*needed).where(any_period(*period, config.period_mode)),
+        KeySet(latest, PLAIN_KEY, transactions),
+        KeySet(per_transaction, HASHED_KEY, transactions),
     )
+    base = materialize(
+        eligible_transactions(
+            users, accounts, some, *period, config.nl_site_ids, config.period_mode
+        ).select(*dict.fromkeys([*PLAIN_KEY, *HASHED_KEY, *MODEL_INPUTS, "country_code"]))
+    )
+
+    inputs = [*HASHED_KEY, *MODEL_INPUTS, "country_code"]
+    categories = join_latest(latest, base).select(*inputs, "target_category")
     if config.n_categories_feedback is not None:
         categories = sample_to_size(categories, config.n_categories_feedback)
-
-    per_transaction = labels_per_transaction(
-        tables["historical_labels_feedback"], users, config.n_labels_feedback,
-        config.conflicts_first,
-    )
-    labels = eligible(join_labels(per_transaction, tables["transactions"])).select(
-        *inputs, "label_counts"
-    )
+    labels = join_labels(per_transaction, base).select(*inputs, "label_counts")
     return wide_rows(categories, labels, config.null_safe_ids)
 
 
