@@ -140,6 +140,30 @@ def text_vector_udf(size: int = EMBEDDING_SIZE) -> Callable[..., Column]:
     return text_vector
 
 
+def gathered_mean_udf(ids: np.ndarray, matrix: np.ndarray) -> Callable[..., Column]:
+    """token ids -> mean of their rows of a matrix; ``ids`` are sorted and name the rows.
+
+    Padding, unknown and missing ids are left out; zeros without any other, also for a null row.
+    """
+
+    @F.arrow_udf("array<double>")
+    def gathered_mean(tokens: pa.Array) -> pa.Array:
+        values, lengths = _rows(tokens)
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        values = np.nan_to_num(values.astype(np.float64)).astype(np.int64)  # null as padding
+        known = (values != 0) & (len(ids) > 0)
+        place = np.searchsorted(ids, values)
+        known &= ids[np.minimum(place, max(len(ids) - 1, 0))] == values if len(ids) else False
+        place, rows = place[known], rows[known]
+        counts = np.bincount(rows, minlength=len(lengths))
+        means = np.zeros((len(lengths), matrix.shape[1]))
+        for j in range(matrix.shape[1]):
+            means[:, j] = np.bincount(rows, weights=matrix[place, j], minlength=len(lengths))
+        return _lists(means / np.maximum(counts, 1)[:, None])
+
+    return gathered_mean
+
+
 def unit_vector_udf(size: int) -> Callable[..., Column]:
     """vector -> vector of length one; null for a null or incomplete vector."""
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgertag.session import materialize
+
 # A larger group is cut into pieces of this size, which are spread over the cluster.
 PIECE = 100_000
 
@@ -19,25 +21,26 @@ def collapse_copies(df: DataFrame, count: str = "copies") -> DataFrame:
 
 
 def repeat_rows(df: DataFrame, count: str = "copies", number: str = "copy_no") -> DataFrame:
-    """Turn each row into ``count`` rows, numbered from 1."""
+    """Turn each row into ``count`` rows, numbered from 1.
+
+    The counted rows are written once; nothing before that runs twice. Rows up to PIECE copies are repeated
+    where they are read. The few larger ones (their files are found by the counts in the footers) are
+    cut into pieces that are spread over the cluster.
+    """
     last = F.col(count)
-    small = df.where(last <= PIECE).withColumn(number, F.explode(F.sequence(F.lit(1), last)))
-    pieces = df.where(last > PIECE).withColumn(
-        "piece", F.explode(F.sequence(F.lit(0), F.expr(f"({count} - 1) div {PIECE}")))
-    )
-    large = (
-        pieces.repartition("piece", *[c for c in df.columns if c != count])
-        .withColumn(
-            number,
-            F.explode(
-                F.sequence(
-                    F.col("piece") * PIECE + 1, F.least(last, (F.col("piece") + 1) * PIECE)
-                )
-            ),
+    counted = materialize(df)
+    small = counted.where(last <= PIECE).withColumn(number, F.explode(F.sequence(F.lit(1), last)))
+    largest = counted.agg(F.max(count)).first()[0] or 0
+    if largest > PIECE:
+        pieces = counted.where(last > PIECE).withColumn(
+            "piece", F.explode(F.sequence(F.lit(0), F.expr(f"({count} - 1) div {PIECE}")))
         )
-        .drop("piece")
-    )
-    return small.unionByName(large).drop(count).withColumn(number, F.col(number).cast("bigint"))
+        first = F.col("piece") * PIECE
+        copies = F.sequence(first + 1, F.least(last, first + PIECE))
+        keys = [c for c in df.columns if c != count]
+        large = pieces.repartition("piece", *keys).withColumn(number, F.explode(copies)).drop("piece")
+        small = small.unionByName(large)
+    return small.drop(count).withColumn(number, F.col(number).cast("bigint"))
 
 
 def number_copies(df: DataFrame, number: str = "copy_no") -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertag.functions.hashing import row_digest, unit_draw
 from ledgertag.operators.copies import number_copies
+from ledgertag.operators.reducers import KeySet, maybe_among, not_among
 from ledgertag.session import BROADCAST_ROWS, bounded_side, materialize
 
 FRACTION_SEED = 123
@@ -24,25 +25,46 @@ ROWS_PER_CUT = 1_000_000  # rows that one task sorts to find a cut
 MAX_CLASSES = 1_000_000  # sizes of all classes are ranked in one task
 
 
-def _drawable(df: DataFrame, key: list[str] | None) -> tuple[DataFrame, list[str]]:
-    """The rows, and the columns that tell any two of them apart.
+HASH = "_row_hash"
 
-    With a unique key the frame is used as it is, and may be evaluated twice (to count and to
-    draw). Without one, equal rows get numbers, and the result is kept so that this and all
-    that comes before it runs once.
+
+def _counted_hashes(df: DataFrame, *more: Column) -> DataFrame:
+    """How often each row hash occurs, with more aggregates of the rows. Narrow, and stored once."""
+    hashed = F.xxhash64(*df.columns).alias(HASH)
+    return materialize(df.groupBy(hashed).agg(F.count("*").alias("n"), *more))
+
+
+def _with_copy_numbers(df: DataFrame, hashes: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows with numbers for equal ones, and the columns that tell any two of them apart.
+
+    Only hashes that occur several times can belong to equal rows. Rows with another hash have number 1 and
+    stay where they are; just the rest are counted and numbered, which shuffles all their columns.
     """
-    if key is not None:
-        return df, key
-    rows = materialize(number_copies(df))
-    return rows, rows.columns
+    repeated = hashes.where("n > 1").select(HASH)
+    hashed = df.withColumn(HASH, F.xxhash64(*df.columns))
+    among = KeySet(repeated, [HASH], hashed)
+    single = not_among(hashed, among).drop(HASH).withColumn("copy_no", F.lit(1).cast("bigint"))
+    identity = [*df.columns, "copy_no"]
+    if not among.size:
+        return single, identity
+    several = number_copies(maybe_among(hashed, among).drop(HASH))
+    return single.unionByName(several), identity
 
 
 def sample_to_size(
     df: DataFrame, n_samples: int, key: list[str] | None = None, seed: int = FRACTION_SEED
 ) -> DataFrame:
-    """Keep each row with probability min(n_samples / rows, 1)."""
-    rows, identity = _drawable(df, key)
-    size = rows.agg(F.count("*")).scalar()
+    """Keep each row with probability min(n_samples / rows, 1).
+
+    The frame is evaluated twice, to count and to draw. Without a unique ``key``, equal rows are numbered;
+    no column of the others is shuffled or stored.
+    """
+    if key is not None:
+        rows, identity, size = df, key, df.agg(F.count("*")).scalar()
+    else:
+        hashes = _counted_hashes(df)
+        rows, identity = _with_copy_numbers(df, hashes)
+        size = hashes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     ratio = F.try_divide(F.lit(float(n_samples)), size)
     return rows.where(unit_draw(identity, seed) < ratio).select(*df.columns)
 
@@ -67,10 +89,10 @@ def sample_per_stratum(
     """Keep about ``n_samples`` rows of every stratum, and all rows of smaller strata.
 
     A missing value in a stratum column is a value of its own. The ratios are few and are sent
-    to the rows, so no stratum is ever gathered in one place.
+    to the rows, so no stratum is ever gathered in one place. Equal rows as in ``sample_to_size``.
     """
-    rows, identity = _drawable(df, key)
-    ratios = stratum_ratios(rows, n_samples, strata, counted).select(
+    rows, identity = (df, key) if key is not None else _with_copy_numbers(df, _counted_hashes(df))
+    ratios = stratum_ratios(df, n_samples, strata, counted).select(
         *[F.col(c).alias(f"stratum_{c}") for c in strata], "ratio"
     )
     same = [F.col(c).eqNullSafe(F.col(f"stratum_{c}")) for c in strata]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,33 +10,60 @@ from ledgertag.domain import EMBEDDING_SIZE, TRAINING_LABELS, TRANSACTION_LABELS
 from ledgertag.functions.text import PAD_ID
 from ledgertag.functions.vectors import (
     component_means,
+    gathered_mean_udf,
     similarity_udf,
     transaction_vector_udf,
     unit_vector_udf,
 )
 
 N_NUMERIC = 3
+# Token vectors that are sent to all tasks take no more than this.
+MAX_MATRIX_BYTES = 64 << 20
 
 
 def masked_mean(
-    df: DataFrame, token_vectors: DataFrame, key: str, size: int = EMBEDDING_SIZE
+    df: DataFrame,
+    token_vectors: DataFrame,
+    key: str,
+    size: int = EMBEDDING_SIZE,
+    max_bytes: int = MAX_MATRIX_BYTES,
 ) -> DataFrame:
     """Mean vector of a row's tokens, looked up in a table; padding and unknown ids are left out.
 
-    Rows without tokens get zeros. The table is at most as large as the vocabulary: Spark sends
-    it out if it is under the broadcast threshold, and otherwise shuffles and splits frequent
-    tokens at run time. A row's tokens stand next to each other, so they are summed up before
-    the second shuffle.
+    Rows without tokens get zeros; ``key`` names the rows and must be unique. A table of at most
+    ``max_bytes`` (counted first) with one whole vector for each token is sent to the tasks as a matrix, so
+    rows stay where they are. Any other table is joined: Spark shuffles tokens and splits frequent
+    ones at run time, and a row's tokens are summed up before the second shuffle.
     """
+    table = token_vectors.select("token_id", "vector")
+    if _fits(table, size, max_bytes):
+        known = table.toArrow()
+        ids = known["token_id"].to_numpy().astype(np.int64)
+        order = np.argsort(ids)
+        matrix = known["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        gather = gathered_mean_udf(ids[order], matrix.astype(np.float64).reshape(-1, size)[order])
+        return df.select(key, gather(F.col("token_ids")).alias("vector"))
     real = F.filter("token_ids", lambda t: t != PAD_ID)
     tokens = df.select(key, F.explode_outer(real).alias("token_id"))
-    found = tokens.join(token_vectors.select("token_id", "vector"), "token_id", "left")
+    found = tokens.join(table, "token_id", "left")
     mean = [F.avg(F.col("vector")[i].cast("double")) for i in range(size)]
     return found.groupBy(key).agg(
         F.array(*[F.coalesce(m, F.lit(0.0)) for m in mean]).alias("vector")
     )
 
 
+def _fits(table: DataFrame, size: int, max_bytes: int) -> bool:
+    """Whether the table is small, has each token once, and only whole vectors."""
+    most = max_bytes // (8 * size + 8)
+    whole = F.coalesce((F.size("vector") == size) & F.forall("vector", lambda x: x.isNotNull()), F.lit(False))
+    rows = table.limit(most + 1).agg(
+        F.count("*").alias("n"),
+        F.count_distinct("token_id").alias("tokens"),
+        F.count_if(whole).alias("whole"),
+    ).first()
+    return rows["n"] <= most and rows["n"] == rows["tokens"] == rows["whole"]
+
+
 def with_transaction_vector(df: DataFrame, size: int = EMBEDDING_SIZE) -> DataFrame:
     """Unit vector of text part and numeric part, from the features of a row."""
     vector = transaction_vector_udf(size)

@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgertag.operators.feedback import (
     label_counts,
     label_list,
+    label_runs,
     labels_per_transaction,
     latest_feedback,
     union_feedback,
@@ -83,3 +85,32 @@ def test_a_hot_transaction_is_one_row_with_counts(spark):
     )
     hot = label_counts(df).where("transaction_id_hashed = 'hot'").collect()
     assert [(e["label"], e["copies"]) for e in hot[0].label_counts] == [("Gym", 10_000)]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_both_ways_to_the_latest_feedback_agree(spark, kind):
+    df = spark.range(3_000).selectExpr(
+        "concat('u', id % 7) AS user_id", "IF(id % 11 = 0, null, 'a') AS account_id",
+        "concat('t', id % 40) AS transaction_id", "date'2020-01-01' AS date",
+        "CASE id % 5 WHEN 0 THEN null WHEN 1 THEN timestamp'0001-01-01 00:00:00' WHEN 2 THEN timestamp'9999-12-31 23:59:59.999999' "
+        "ELSE timestamp_micros(id * 7919 % 13) END AS feedback_time",
+        "CASE WHEN id % 13 = 0 THEN null ELSE concat('c', id * 31 % 17) END AS category",
+    ).withColumn("feedback_time", F.col("feedback_time").cast(kind))
+    quick = latest_feedback(df)
+    assert quick.dtypes == latest_feedback(df, 0).dtypes
+    shown = [F.col(c).cast("string") for c in quick.columns]  # Python has no years near 0 and 10000
+    assert rows(quick.select(*shown)) == rows(latest_feedback(df, 0).select(*shown))
+    assert quick.count() == df.select("user_id", "account_id", "transaction_id").distinct().count()
+    assert latest_feedback(df.where("false")).count() == 0
+
+
+def test_a_label_given_very_often_stays_one_entry(spark):
+    counts = spark.createDataFrame(
+        [([("Gym", 3_000_000_000), ("Rent", 1)],), ([("Gym", 2)],), ([],), (None,)],
+        "label_counts array<struct<label:string,copies:bigint>>",
+    )
+    found = [r[0] for r in counts.select(label_runs(F.col("label_counts"))).collect()]
+    assert found == ["Gym*3000000000,Rent", "Gym*2", "", None]
+    lists = counts.select(label_list(F.col("label_counts")).alias("l"))
+    with pytest.raises(Exception, match="too many labels"):
+        lists.collect()

@@ -6,11 +6,14 @@ import pytest
 
 from ledgertag.catalogue import tables as t
 from ledgertag.domain import SIMILARITY_THRESHOLD
-from ledgertag.operators.copies import number_copies
+from ledgertag import session
+from ledgertag.operators import copies, feedback, reducers, sampling
+from ledgertag.operators.copies import collapse_copies, number_copies
 from ledgertag.operators.eligibility import eligible_transactions, eligible_users, live_accounts
 from ledgertag.operators.evaluate import metric_sums_by_group
 from ledgertag.operators.feedback import label_counts, latest_feedback
 from ledgertag.operators.features import AmountScale
+from ledgertag.plans import training_set
 from ledgertag.plans.model import VECTOR_SIZE, LabelModel
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -100,7 +103,49 @@ def test_hot_user_is_split_in_the_join(spark):
 
 
 def test_equal_rows_are_counted_once_for_both_paths(spark):
-    numbered = number_copies(spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type"))
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").select("event_type")
+    counting = plan(collapse_copies(events))
+    assert "partial_count" in counting and "Window" not in counting
+    numbered = number_copies(events)
     assert numbered.count() == 1_000
+    # The counts are stored, and what was counted is not read again.
     text = plan(numbered)
-    assert "partial_count" in text and "Window" not in text
+    assert "events.parquet" not in text and text.count("FileScan") == 1 and "Exchange" not in text
+
+
+def test_latest_feedback_hashes_and_never_sorts(spark):
+    events = t.feedback_events(spark, SF_DIR).selectExpr(
+        "user_id", "account_id", "transaction_id", "date", "feedback_time", "event_type AS category"
+    )
+    text = plan(latest_feedback(events))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text and "HashAggregate" in text
+
+
+def test_draws_shuffle_and_store_no_wide_column(spark, monkeypatch):
+    stored = []
+    for module in (sampling, reducers, copies):
+        keep = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, keep=keep: stored.append(df.columns) or keep(df))
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    once = lines.selectExpr("*", "monotonically_increasing_id() AS id")
+    sample = sampling.sample_to_size(once, 500)
+    assert 300 < sample.count() < 700
+    assert "Exchange hashpartitioning" not in plan(sample)
+    assert all(set(columns) <= {"_row_hash", "n", "block", "words"} for columns in stored)
+
+
+def test_transactions_are_scanned_once_for_both_feedbacks(spark, partitioned, tmp_path, monkeypatch):
+    path = str(tmp_path / "all_transactions")
+    partitioned.write.partitionBy("year", "month").parquet(path)
+    tables = t.pipeline_tables(spark, SF_DIR) | {"transactions": spark.read.parquet(path)}
+    plans = []
+    for module in (training_set, feedback, sampling, reducers, copies, session):
+        if hasattr(module, "materialize"):
+            keep = module.materialize
+            monkeypatch.setattr(module, "materialize", lambda df, keep=keep: plans.append(plan(df)) or keep(df))
+    plain = training_set.labelled_rows(tables, t.CONFIG)
+    plans.append(plan(plain))
+    # Of all tables read, only the transactions have folders to prune.
+    scans = [line for text in plans for line in text.splitlines() if "FileScan" in line and "PartitionFilters: [isnotnull" in line]
+    assert len(scans) == 1 and "cycle_id" not in scans[0]
+    assert "year" in scans[0].split("PartitionFilters: [")[1].split("], PushedFilters")[0]

@@ -1,6 +1,9 @@
 import math
 
 import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgertag.functions.text import clean_text, labels_in_text, split_tokens, token_ids
@@ -131,3 +134,26 @@ def test_length_histogram(spark):
     found = {r.bin: r.share for r in length_histogram(df).collect()}
     assert len(found) == 25
     assert {b: s for b, s in found.items() if s} == {10: 2 / 8, 20: 1 / 8, 250: 2 / 8}
+
+
+@given(
+    st.lists(st.one_of(st.none(), st.lists(st.one_of(st.none(), st.integers(0, 12)), max_size=6)), max_size=8),
+    st.lists(st.tuples(st.integers(1, 10), st.lists(st.integers(-4, 4), min_size=3, max_size=3)), max_size=8, unique_by=lambda x: x[0]),
+)
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_gather_and_join_give_the_same_means(spark, texts, vectors):
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, token_ids array<int>")
+    table = spark.createDataFrame([(t, [float(x) for x in v]) for t, v in vectors], "token_id int, vector array<float>")
+    gathered, joined = masked_mean(df, table, "k", 3), masked_mean(df, table, "k", 3, max_bytes=-1)
+    found, wanted = ({r.k: r.vector for r in means.collect()} for means in (gathered, joined))
+    assert found.keys() == wanted.keys() and all(found[k] == pytest.approx(wanted[k]) for k in found)
+    text = gathered._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Join" not in text
+
+
+@pytest.mark.parametrize("table", [[(1, [1.0]), (1, [3.0])], [(1, [1.0]), (2, None)], [(1, [1.0]), (2, [None])]])
+def test_odd_tables_are_joined(spark, table):
+    df = spark.createDataFrame([(1, [1, 2])], "k int, token_ids array<int>")
+    found = masked_mean(df, spark.createDataFrame(table, "token_id int, vector array<double>"), "k", 1)
+    assert "Join" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.first().vector == [sum(v[0] for _, v in table if v and v[0]) / sum(1 for _, v in table if v and v[0])]
