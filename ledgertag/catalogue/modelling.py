@@ -43,7 +43,9 @@ from ledgertag.operators.rules import (
 )
 from ledgertag.operators.scoring import (
     fit_label_vectors,
+    known_labels,
     label_matrix,
+    label_moments,
     masked_mean,
     similarities_long,
     transaction_label_similarities,
@@ -234,7 +236,6 @@ def align_inputs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- vectors over the embeddings ------------------------------------------------------------
 
-VECTOR_LABELS = list(range(10))
 DIMENSIONS = 64
 UNIT_SQL = "list_transform({v}, lambda component: component / sqrt(greatest(list_dot_product({v}, {v}), 1e-12)))"
 
@@ -246,8 +247,8 @@ def unit_sql(vector: str) -> str:
 EMBEDDING_CTES = {
     "raw_vectors": "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
     "unit_vectors": f"SELECT vec_id, label, {unit_sql('v')} AS u FROM raw_vectors",
-    "positions": f"""
-        SELECT label, unnest(range(1, {DIMENSIONS + 1})) AS i, unnest(u) AS x FROM unit_vectors""",
+    "positions": """
+        SELECT label, unnest(range(1, len(u) + 1)) AS i, unnest(u) AS x FROM unit_vectors""",
     "means": """
         SELECT label, list(m ORDER BY i) AS c
         FROM (SELECT label, i, avg(x) AS m FROM positions GROUP BY label, i) GROUP BY label""",
@@ -259,22 +260,28 @@ EMBEDDING_CTES = {
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit_label_vectors(
-        t.read(spark, sf_dir, "embeddings"), "label", "embedding", DIMENSIONS
-    )
+    rows = t.read(spark, sf_dir, "embeddings")
+    return fit_label_vectors(rows, "label", "embedding", vector_size(rows))
+
+
+def vector_size(embeddings: DataFrame) -> int:
+    """Components of the longest vector; a shorter one then raises where it is used."""
+    return embeddings.agg(F.max(F.size("embedding"))).first()[0] or 0
 
 
 def scored_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = label_matrix(
-        embedding_vectors(spark, sf_dir), "label", VECTOR_LABELS, DIMENSIONS
-    )
-    return with_similarities(t.read(spark, sf_dir, "embeddings"), matrix, "embedding")
+    """Similarities with all labels of the table in their order; ``label_id`` is the place of the own."""
+    rows = t.read(spark, sf_dir, "embeddings")
+    labels = known_labels(rows, "label")
+    matrix = label_matrix(embedding_vectors(spark, sf_dir), "label", labels, vector_size(rows))
+    place = F.array_position(F.lit(labels), F.col("label")).cast("int") - 1
+    return with_similarities(rows, matrix, "embedding").withColumn("label_id", place)
 
 
 @query(
     "label_centroids",
     sql(
-        f"""SELECT label, CAST(unnest(range({DIMENSIONS})) AS INTEGER) AS component,
+        """SELECT label, CAST(unnest(range(len(c))) AS INTEGER) AS component,
           round(unnest(c), 6) AS value FROM centroids""",
         **EMBEDDING_CTES,
     ),
@@ -291,10 +298,32 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql("SELECT vec_id, label, round(s, 6) AS similarity FROM sims", **EMBEDDING_CTES),
 )
 def similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = similarities_long(scored_embeddings(spark, sf_dir), VECTOR_LABELS, "vec_id")
+    labels = known_labels(t.read(spark, sf_dir, "embeddings"), "label")
+    rows = similarities_long(scored_embeddings(spark, sf_dir), labels, "vec_id")
     return rows.withColumn("similarity", F.round("similarity", 6))
 
 
+@query(
+    "label_moments",
+    sql(
+        """SELECT label, CAST(i - 1 AS INTEGER) AS i, -1 AS j, round(avg(x), 6) + 0.0 AS value
+        FROM positions GROUP BY label, i
+        UNION ALL
+        SELECT NULL, CAST(i - 1 AS INTEGER), CAST(j - 1 AS INTEGER), round(avg(value), 6) + 0.0 FROM (
+          SELECT label, i, j, avg(x * u[j]) AS value FROM (
+            SELECT label, u, i, x, unnest(range(1, len(u) + 1)) AS j FROM (
+              SELECT label, u, unnest(range(1, len(u) + 1)) AS i, unnest(u) AS x FROM unit_vectors))
+          GROUP BY label, i, j) GROUP BY i, j""",
+        **EMBEDDING_CTES,
+    ),
+)
+def label_moments_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the least-squares directions are solved from."""
+    rows = t.read(spark, sf_dir, "embeddings")
+    found = label_moments(rows, "label", "embedding", vector_size(rows))
+    return found.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
 @query(
     "vector_products",
     sql(
@@ -326,7 +355,7 @@ def vector_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def triplet_loss_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loss = triplet_loss(scored_embeddings(spark, sf_dir), "label")
+    loss = triplet_loss(scored_embeddings(spark, sf_dir), "label_id")
     return loss.withColumn("triplet_loss", F.round("triplet_loss", 6))
 
 
@@ -350,7 +379,7 @@ RANK_CTES = {
     sql("SELECT vec_id, round(1.0 / rank, 6) AS reciprocal_rank FROM ranks", **RANK_CTES),
 )
 def mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rank = reciprocal_rank(F.col("similarities"), F.col("label"))
+    rank = reciprocal_rank(F.col("similarities"), F.col("label_id"))
     return scored_embeddings(spark, sf_dir).select(
         "vec_id", F.round(rank, 6).alias("reciprocal_rank")
     )
@@ -365,7 +394,7 @@ def mrr(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def recall_at_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = hits_by_rank(F.col("similarities"), F.col("label"))
+    hits = hits_by_rank(F.col("similarities"), F.col("label_id"))
     rows = scored_embeddings(spark, sf_dir).select(
         "vec_id", F.posexplode(hits).alias("position", "recall")
     )
@@ -387,7 +416,7 @@ def recall_at_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def ranking_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = ranking_metrics(scored_embeddings(spark, sf_dir), "similarities", "label")
+    metrics = ranking_metrics(scored_embeddings(spark, sf_dir), "similarities", "label_id")
     return metrics.select(*[F.round(c, 6).alias(c) for c in metrics.columns])
 
 
@@ -505,7 +534,8 @@ def line() -> list:
 
 
 def model(spark: SparkSession, sf_dir: str) -> LabelModel:
-    return LabelModel.fit(t.examples(spark, sf_dir))
+    """Compared by mean vectors, which SQL can repeat."""
+    return LabelModel.fit(t.examples(spark, sf_dir), method="mean")
 
 
 def suppressed_sql(table: str) -> str:
@@ -704,3 +734,14 @@ def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows, QUERY_TAX_RULES, "red", keep=["account_id", "transaction_id", "date"]
     )
     return labelled.select(*line(), F.array_join(F.array_sort("labels"), ",").alias("labels"))
+
+
+@query("predict_ridge")
+def predict_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compared by least-squares directions over tokens seen in training. SQL can't solve for them."""
+    fitted = LabelModel.fit(t.examples(spark, sf_dir))
+    rows = t.transactions(spark, sf_dir).join(t.users(spark, sf_dir), "user_id_hashed")
+    labelled = fitted.predict(
+        rows, QUERY_TAX_RULES, "red", keep=["account_id", "transaction_id", "date"]
+    )
+    return labelled.select(*line(), F.array_join(F.array_sort("labels"), ",").alias("labels"))

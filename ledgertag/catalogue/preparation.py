@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,7 @@ from ledgertag.operators.feedback import (
     label_feedback,
     label_feedback_with_country,
     label_list,
+    label_runs,
     latest_feedback,
     union_feedback,
     without_conflicts,
@@ -41,8 +44,14 @@ from ledgertag.operators.sampling import (
     stratum_ratios,
 )
 from ledgertag.plans.training_set import CATEGORY_TABLES, training_set
-from ledgertag.session import scratch_path
-from ledgertag.sources.sinks import split_counts_by_country, write_splits
+from ledgertag.session import materialize, scratch_path
+from ledgertag.sources.sinks import (
+    SPLITS,
+    run_metadata,
+    split_counts_by_country,
+    write_metadata,
+    write_splits,
+)
 from ledgertag.sources.tables import TableSpec, load_table
 
 
@@ -628,3 +637,50 @@ def training_set_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_splits(training_set_query(spark, sf_dir), path)
     rows = spark.read.parquet(path).withColumn("split", F.col("split").cast("string"))
     return split_counts_by_country(rows)
+
+
+@query(
+    "run_metadata",
+    sql(
+        f"""SELECT split AS name, country_code,
+          count(*) AS n_rows, {CONFIG.n_test} AS n_test, {CONFIG.n_validation} AS n_validation,
+          '00:00:07' AS elapsed
+        FROM training_rows WHERE country_code IS NOT NULL GROUP BY split, country_code""",
+        **TRAINING_SET_CTES,
+    ),
+)
+def run_metadata_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata of a run as written and read again; its maps of sizes as rows."""
+    folder = scratch_path(spark, "metadata")
+    sets = materialize(training_set_query(spark, sf_dir))
+    write_metadata(run_metadata(sets, asdict(CONFIG), "00:00:07"), folder)
+    sizes = "map<string,bigint>"
+    schema = ", ".join(["config string", "preprocessing_time string", *(f"{s}_data_size_per_country {sizes}" for s in SPLITS)])
+    written = spark.read.schema(schema).json(folder)
+    config = F.from_json("config", "n_test int, n_validation int")
+    by_split = F.create_map(*(x for s in SPLITS for x in (F.lit(s), F.col(f"{s}_data_size_per_country"))))
+    rows = written.select(config.alias("c"), "preprocessing_time", F.explode(by_split).alias("name", "sizes"))
+    rows = rows.select("c.*", "preprocessing_time", "name", F.explode("sizes").alias("country_code", "n_rows"))
+    return rows.select(
+        "name", "country_code", "n_rows", "n_test", "n_validation", F.col("preprocessing_time").alias("elapsed")
+    )
+
+
+RUNS_SQL = """
+    SELECT account_id_hashed, transaction_id_hashed, CAST(date AS VARCHAR) AS date, country_code,
+      coalesce(string_agg(CASE WHEN n = 1 THEN transaction_label ELSE transaction_label || '*' || n END, ','
+        ORDER BY transaction_label), '') AS labels, sum(n)::BIGINT AS n_rows
+    FROM (SELECT user_id_hashed, account_id_hashed, transaction_id_hashed, date, country_code, transaction_label,
+        count(*) AS n FROM label_rows WHERE transaction_label IS NOT NULL GROUP BY ALL)
+    GROUP BY user_id_hashed, account_id_hashed, transaction_id_hashed, date, country_code"""
+
+
+@query("label_runs", sql(RUNS_SQL, "label_rows"))
+def label_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label lists in their bounded form."""
+    rows = plain(label_counts(label_rows(spark, sf_dir).where("transaction_label IS NOT NULL")))
+    total = F.aggregate("label_counts", F.lit(0).cast("bigint"), lambda n, e: n + e["copies"])
+    return rows.select(
+        "account_id_hashed", "transaction_id_hashed", "date", "country_code",
+        label_runs(F.col("label_counts")).alias("labels"), total.alias("n_rows"),
+    )

@@ -8,7 +8,7 @@ about ten times faster, and stays a row-local step without any shuffle.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,13 +75,16 @@ def _rows(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _matrix(vectors: pa.Array, size: int) -> np.ndarray:
-    """Rows as a dense matrix; a null row, or one of another length, becomes NaN."""
+    """Rows as a dense matrix; a null row becomes NaN, and one of another length raises."""
     values, lengths = _rows(vectors)
     if len(lengths) and (lengths == size).all():
         return values.astype(np.float64).reshape(-1, size)
+    present = vectors.is_valid().to_numpy(zero_copy_only=False)
+    if (lengths[present] != size).any():
+        other = int(lengths[present & (lengths != size)][0])
+        raise ValueError(f"a vector has {other} components instead of {size}")
     matrix = np.full((len(lengths), size), np.nan)
-    fitting = lengths == size
-    matrix[fitting] = values[np.repeat(fitting, lengths)].astype(np.float64).reshape(-1, size)
+    matrix[present] = values.astype(np.float64).reshape(-1, size)
     return matrix
 
 
@@ -100,11 +103,24 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     )
 
 
-def _mean_token_vectors(ids: pa.Array, size: int) -> np.ndarray:
-    """Mean of the token vectors of every row, leaving out padding; zeros without tokens."""
+def packed_ids(ids: list[int]) -> bytes:
+    """A set of ids as bits."""
+    known = np.zeros(max(ids, default=0) + 1, bool)
+    known[ids] = True
+    return np.packbits(known).tobytes()
+
+
+def _mean_token_vectors(ids: pa.Array, size: int, known: bytes | None = None) -> np.ndarray:
+    """Mean of the token vectors of every row, leaving out padding; zeros without tokens.
+
+    With ``known``, bits by id, tokens that are not in it are left out, too.
+    """
     values, lengths = _rows(ids)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     real = values != 0
+    if known is not None:
+        bits = np.unpackbits(np.frombuffer(known, np.uint8)).astype(bool)
+        real &= (values < len(bits)) & bits[np.minimum(values, len(bits) - 1)]
     values, rows = values[real].astype(np.int64), rows[real]
     tokens, inverse = np.unique(values, return_inverse=True)
     table = np.stack(
@@ -119,13 +135,15 @@ def _mean_token_vectors(ids: pa.Array, size: int) -> np.ndarray:
     return sums / np.maximum(counts, 1)[:, None]
 
 
-def transaction_vector_udf(size: int = EMBEDDING_SIZE) -> Callable[..., Column]:
+def transaction_vector_udf(
+    size: int = EMBEDDING_SIZE, known: bytes | None = None
+) -> Callable[..., Column]:
     """(token ids, numeric features) -> unit vector of text part and numeric part."""
 
     @F.arrow_udf("array<double>")
     def transaction_vector(ids: pa.Array, numbers: pa.Array) -> pa.Array:
         numeric = _matrix(numbers, 3)
-        return _lists(_unit(np.hstack([_mean_token_vectors(ids, size), numeric])))
+        return _lists(_unit(np.hstack([_mean_token_vectors(ids, size, known), numeric])))
 
     return transaction_vector
 
@@ -174,16 +192,52 @@ def unit_vector_udf(size: int) -> Callable[..., Column]:
     return unit_vector
 
 
-def similarity_udf(label_vectors: np.ndarray) -> Callable[..., Column]:
+def similarity_udf(
+    label_vectors: np.ndarray, directions: np.ndarray | None = None
+) -> Callable[..., Column]:
     """vector -> cosine similarity with every label vector, in label order.
 
-    The matrix travels with the function; it has one row per label of the fixed domain.
+    With ``directions``, a row for each new component, both sides are mapped first. The matrices
+    travel with the function; they have one row per label of the fixed domain.
     """
     unit_labels = _unit(np.asarray(label_vectors, dtype=np.float64))
     labels, size = unit_labels.shape
+    turn = None if directions is None else np.asarray(directions, dtype=np.float64).T
+    if turn is not None:
+        unit_labels = _unit(unit_labels @ turn)
 
     @F.arrow_udf("array<double>")
     def similarity(vectors: pa.Array) -> pa.Array:
-        return _lists(_unit(_matrix(vectors, size)) @ unit_labels.T)
+        rows = _unit(_matrix(vectors, size))
+        return _lists((rows if turn is None else _unit(rows @ turn)) @ unit_labels.T)
 
     return similarity
+
+
+def moment_partials(
+    batches: Iterator[pa.RecordBatch], weights: dict, size: int
+) -> Iterator[pa.RecordBatch]:
+    """Of batches of (label, unit vector): weighted sums by label, and of products of components.
+
+    A task gives one row for each number: ``place`` of the label in the weights (null for products), ``i``,
+    ``j`` and ``value``.
+    """
+    labels = list(weights)
+    sums, products = np.zeros((len(labels), size)), np.zeros((size, size))
+    for batch in batches:
+        names = batch.column(0).to_pylist()
+        place = np.array([labels.index(name) for name in names], np.int64)
+        rows = _matrix(batch.column(1), size)
+        weighted = rows * np.array([weights[name] for name in names])[:, None]
+        products += weighted.T @ rows
+        np.add.at(sums, place, weighted)
+    i, j = np.divmod(np.arange(size * size), size)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([k for k in range(len(labels)) for _ in range(size)] + [None] * (size * size), pa.int32()),
+            pa.array(np.concatenate([np.tile(np.arange(size), len(labels)), i]).astype(np.int32)),
+            pa.array(np.concatenate([np.full(size * len(labels), -1), j]).astype(np.int32)),
+            pa.array(np.concatenate([sums.ravel(), products.ravel()])),
+        ],
+        names=["place", "i", "j", "value"],
+    )

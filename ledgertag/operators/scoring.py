@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgertag.domain import EMBEDDING_SIZE, TRAINING_LABELS, TRANSACTION_LABELS, TRIPLET_MARGIN
 from ledgertag.functions.text import PAD_ID
 from ledgertag.functions.vectors import (
     component_means,
     gathered_mean_udf,
+    moment_partials,
+    packed_ids,
     similarity_udf,
     transaction_vector_udf,
     unit_vector_udf,
@@ -19,6 +25,8 @@ from ledgertag.functions.vectors import (
 N_NUMERIC = 3
 # Token vectors that are sent to all tasks take no more than this.
 MAX_MATRIX_BYTES = 64 << 20
+MAX_LABELS = 10_000
+RIDGE = 0.1
 
 
 def masked_mean(
@@ -64,9 +72,14 @@ def _fits(table: DataFrame, size: int, max_bytes: int) -> bool:
     return rows["n"] <= most and rows["n"] == rows["tokens"] == rows["whole"]
 
 
-def with_transaction_vector(df: DataFrame, size: int = EMBEDDING_SIZE) -> DataFrame:
-    """Unit vector of text part and numeric part, from the features of a row."""
-    vector = transaction_vector_udf(size)
+def with_transaction_vector(
+    df: DataFrame, size: int = EMBEDDING_SIZE, known: bytes | None = None
+) -> DataFrame:
+    """Unit vector of text part and numeric part, from the features of a row.
+
+    With ``known`` (``seen_tokens``), other tokens don't take part in the text part.
+    """
+    vector = transaction_vector_udf(size, known)
     return df.withColumn("vector", vector("token_ids", "numeric_features"))
 
 
@@ -87,6 +100,71 @@ def fit_label_vectors(
     )
 
 
+def seen_tokens(df: DataFrame, tokens: str = "token_ids") -> bytes:
+    """The token ids that occur, as bits: no more of them than the vocabulary has."""
+    ids = df.select(F.explode(tokens).alias("id")).where("id IS NOT NULL").distinct()
+    return packed_ids([row["id"] for row in ids.toLocalIterator()])
+
+
+def label_moments(
+    df: DataFrame, label: str, vector: str = "vector", size: int = EMBEDDING_SIZE + N_NUMERIC,
+    max_labels: int = MAX_LABELS,
+) -> DataFrame:
+    """Mean unit vector of each label, and the mean product of any two components.
+
+    Every label weighs the same, whatever its size. Rows of means have ``label``, ``i`` and -1 for ``j``,
+    those of products no label, ``i`` and ``j``. Two passes: sizes of labels, then sums of which each
+    task sends a fixed number. Rows without label or vector don't count.
+    """
+    rows = df.where(F.col(label).isNotNull() & F.col(vector).isNotNull())
+    rows = rows.select(F.col(label).alias("label"), unit_vector_udf(size)(F.col(vector)).alias("unit"))
+    rows = rows.where("unit IS NOT NULL")
+    sizes = rows.groupBy("label").count().limit(max_labels + 1).collect()
+    if len(sizes) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    weights = {row["label"]: 1.0 / row["count"] for row in sizes}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return moment_partials(batches, weights, size)
+
+    parts = rows.mapInArrow(run, "place int, i int, j int, value double")
+    totals = parts.groupBy("place", "i", "j").agg(F.sum("value").alias("value"))
+    share = F.when(F.col("place").isNull(), F.lit(1.0 / max(len(weights), 1))).otherwise(F.lit(1.0))
+    names = F.array(*map(F.lit, weights)).cast(T.ArrayType(rows.schema["label"].dataType))
+    return totals.where(F.lit(bool(weights))).select(
+        F.get(names, F.col("place")).alias("label"), "i", "j", (F.col("value") * share).alias("value")
+    )
+
+
+def ridge_directions(
+    moments: DataFrame, labels: list, size: int = EMBEDDING_SIZE + N_NUMERIC, ridge: float = RIDGE
+) -> tuple[list[list[float]], list[list[float]]]:
+    """Mean vectors of the labels, and the directions that tell them apart best by least squares.
+
+    A direction is the weight of each component in a linear guess of a label from a unit vector, with
+    ``ridge`` times the mean squared component added to the squares. Components that no labelled row
+    has get no weight. Zeros for a label without rows.
+    """
+    place = {label: k for k, label in enumerate(labels)}
+    means, products = np.zeros((len(labels), size)), np.zeros((size, size))
+    for row in moments.collect():  # labels x size + size x size numbers
+        if row["label"] is None:
+            products[row["i"], row["j"]] = row["value"]
+        elif row["label"] in place:
+            means[place[row["label"]], row["i"]] = row["value"]
+    present = max(int((means != 0).any(axis=1).sum()), 1)
+    damped = products + max(ridge * np.trace(products) / size, 1e-12) * np.eye(size)
+    return means.tolist(), (np.linalg.solve(damped, means.T).T / present).tolist()
+
+
+def known_labels(df: DataFrame, label: str, max_labels: int = MAX_LABELS) -> list:
+    """The labels of a frame in their order. More than ``max_labels`` raise."""
+    found = df.select(label).where(F.col(label).isNotNull()).distinct().limit(max_labels + 1).collect()
+    if len(found) > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    return sorted(row[0] for row in found)
+
+
 def label_matrix(label_vectors: DataFrame, label: str, labels: list, size: int) -> list[list[float]]:
     """Label vectors in the order of ``labels``; zeros for a label that has none.
 
@@ -99,10 +177,17 @@ def label_matrix(label_vectors: DataFrame, label: str, labels: list, size: int)
 
 
 def with_similarities(
-    df: DataFrame, matrix: list[list[float]], vector: str = "vector"
+    df: DataFrame,
+    matrix: list[list[float]],
+    vector: str = "vector",
+    directions: list[list[float]] | None = None,
 ) -> DataFrame:
-    """Cosine similarity with every label, as an array in label order. No join, no shuffle."""
-    return df.withColumn("similarities", similarity_udf(matrix)(F.col(vector)))
+    """Cosine similarity with every label, as an array in label order. No join, no shuffle.
+
+    With ``directions``, vectors and label vectors are mapped by them first. A null vector has no
+    similarities, and one of another length than the label vectors raises.
+    """
+    return df.withColumn("similarities", similarity_udf(matrix, directions)(F.col(vector)))
 
 
 def similarities_long(df: DataFrame, labels: list, key: str, column: str = "similarities") -> DataFrame:

@@ -28,6 +28,9 @@ from ledgertag.operators.scoring import (
     N_NUMERIC,
     fit_label_vectors,
     label_matrix,
+    label_moments,
+    ridge_directions,
+    seen_tokens,
     with_similarities,
     with_transaction_vector,
 )
@@ -39,33 +42,46 @@ KEPT = "_kept_columns"
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Amount scale and one vector per training label."""
+    """Amount scale and one vector per training label.
+
+    ``directions`` map transactions and labels to one component per label before they are compared;
+    ``known`` holds the tokens that were seen in training. Without them vectors are compared as they are.
+    """
 
     scale: AmountScale
     matrix: list[list[float]]
+    directions: list[list[float]] | None = None
+    known: bytes | None = None
 
     @staticmethod
-    def fit(training: DataFrame) -> LabelModel:
-        """Fit on long labelled rows: range of amounts, then mean direction per label.
+    def fit(training: DataFrame, method: str = "ridge") -> LabelModel:
+        """Fit on long labelled rows: range of amounts, then mean vector and direction per label.
 
-        Both passes read a table of the columns needed, so the input is computed once.
+        ``ridge`` leaves out tokens never seen in training and compares by least-squares directions;
+        ``mean`` compares with the mean vectors. All passes read a table of the columns needed, so the
+        input is computed once.
         """
+        if method not in ("ridge", "mean"):
+            raise ValueError(f"unknown method {method!r}")
         needed = [c for c in (*INPUT_DEFAULTS, "target_label") if c in training.columns]
         rows = materialize(trainable_rows(training.select(*needed)))
         scale = AmountScale.fit(rows)
-        vectors = with_transaction_vector(with_features(rows, scale))
-        return LabelModel(
-            scale,
-            label_matrix(
-                fit_label_vectors(vectors, "target_label"),
-                "target_label", TRAINING_LABELS, VECTOR_SIZE,
-            ),
-        )
+        features = with_features(rows, scale)
+        if method == "mean":
+            vectors = with_transaction_vector(features)
+            fitted = fit_label_vectors(vectors, "target_label")
+            return LabelModel(scale, label_matrix(fitted, "target_label", TRAINING_LABELS, VECTOR_SIZE))
+        labelled = features.where(F.col("target_label").isin(TRAINING_LABELS))
+        known = seen_tokens(labelled)
+        vectors = with_transaction_vector(labelled, known=known)
+        moments = label_moments(vectors, "target_label")
+        means, directions = ridge_directions(moments, TRAINING_LABELS)
+        return LabelModel(scale, means, directions, known)
 
     def similarities(self, df: DataFrame) -> DataFrame:
         """Similarity of each row with each training label; helper columns stay."""
-        vectors = with_transaction_vector(with_features(df, self.scale))
-        return with_similarities(vectors, self.matrix)
+        vectors = with_transaction_vector(with_features(df, self.scale), known=self.known)
+        return with_similarities(vectors, self.matrix, directions=self.directions)
 
     def indicators(self, df: DataFrame, threshold: float = SIMILARITY_THRESHOLD) -> DataFrame:
         """Add ``predicted``: 0/1 per transaction label, after rules and conflicts."""
@@ -92,14 +108,29 @@ class LabelModel:
         return result.select(*(F.col(f"{KEPT}.`{name}`") for name in keep or []), "labels")
 
     def save(self, spark: SparkSession, path: str) -> None:
+        """One small table: a row per label, and the known tokens in the first of them."""
         low, high = self.scale.low, self.scale.high
-        rows = [(label, v, low, high) for label, v in zip(TRAINING_LABELS, self.matrix)]
-        schema = "label string, vector array<double>, amount_min double, amount_max double"
+        directions = self.directions or [None] * len(TRAINING_LABELS)
+        rows = [
+            (label, v, w, None if k else self.known, low, high)
+            for k, (label, v, w) in enumerate(zip(TRAINING_LABELS, self.matrix, directions, strict=True))
+        ]
+        schema = (
+            "label string, vector array<double>, direction array<double>, known_tokens binary, "
+            "amount_min double, amount_max double"
+        )
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LabelModel:
-        stored = spark.read.parquet(path)
-        matrix = label_matrix(stored, "label", TRAINING_LABELS, VECTOR_SIZE)
-        low, high = stored.select("amount_min", "amount_max").first()
-        return LabelModel(AmountScale(low, high), matrix)
+        stored = spark.read.parquet(path).where(F.col("label").isin(TRAINING_LABELS))
+        found = {row["label"]: row for row in stored.collect()}
+        none = [0.0] * VECTOR_SIZE
+        rows = [found.get(label) for label in TRAINING_LABELS]
+        matrix = [list(row["vector"]) if row else none for row in rows]
+        first = next(row for row in rows if row)
+        directions = known = None
+        if first["direction"] is not None:
+            directions = [list(row["direction"]) if row else none for row in rows]
+            known = next((bytes(row["known_tokens"]) for row in rows if row and row["known_tokens"]), b"")
+        return LabelModel(AmountScale(first["amount_min"], first["amount_max"]), matrix, directions, known)

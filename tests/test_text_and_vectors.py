@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from ledgertag.functions.text import clean_text, labels_in_text, split_tokens, token_ids
 from ledgertag.functions.vectors import text_vector_udf, token_vector
 from ledgertag.operators.features import AmountScale, align_inputs, length_histogram, with_features
@@ -157,3 +158,27 @@ def test_odd_tables_are_joined(spark, table):
     found = masked_mean(df, spark.createDataFrame(table, "token_id int, vector array<double>"), "k", 1)
     assert "Join" in found._jdf.queryExecution().executedPlan().toString()
     assert found.first().vector == [sum(v[0] for _, v in table if v and v[0]) / sum(1 for _, v in table if v and v[0])]
+
+
+def test_a_vector_of_another_length_raises(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "label int, vector array<double>")
+    assert [r.similarities for r in with_similarities(df, [[1.0, 0.0]]).orderBy("label").collect()] == [[1.0], None]
+    assert fit_label_vectors(df, "label", size=2).count() == 1
+    for scored in (with_similarities(df, [[1.0, 0.0, 0.0]]), fit_label_vectors(df, "label", size=3)):
+        with pytest.raises(Exception, match="2 components instead of 3"):
+            scored.collect()
+
+
+def test_labels_and_size_come_from_the_table(spark, tmp_path):
+    rows = [(i, [float(i % 3 == 0), float(i % 3 == 1), float(i % 3 == 2)], (0, 4, 10)[i % 3]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = queries()["similarity"](spark, str(tmp_path)).collect()
+    assert {r.label for r in found} == {0, 4, 10} and len(found) == 36
+    assert {r.similarity for r in found if r.label == rows[r.vec_id][2]} == {1.0}
+    assert queries()["ranking_metrics"](spark, str(tmp_path)).first().mean_reciprocal_rank == 1.0
+    assert all(r.reciprocal_rank == 1.0 for r in queries()["mrr"](spark, str(tmp_path)).collect())
+    assert queries()["triplet_loss"](spark, str(tmp_path)).first().triplet_loss == 0.0
+    frame.unionByName(spark.createDataFrame([(99, [1.0], 4)], frame.schema)).write.parquet(f"{tmp_path}/odd/embeddings.parquet")
+    with pytest.raises(Exception, match="1 components instead of 3"):
+        queries()["similarity"](spark, f"{tmp_path}/odd").collect()
