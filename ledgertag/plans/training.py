@@ -23,7 +23,7 @@ from ledgertag.operators.evaluate import (
 from ledgertag.operators.assemble import trainable_rows
 from ledgertag.operators.scoring import triplet_loss
 from ledgertag.plans.model import LabelModel
-from ledgertag.session import materialize
+from ledgertag.session import materialize, scratch_scope
 from ledgertag.sources.sinks import read_split
 
 
@@ -38,8 +38,14 @@ def run(
     """Fit, evaluate, save model and metadata; True if the model is performant.
 
     ``golden`` holds model inputs and the expected label set in ``expected``. The model is
-    saved in any case; the result tells whether it may be used.
+    saved in any case; the result tells whether it may be used. Intermediate tables are dropped
+    once all is written.
     """
+    with scratch_scope(spark, "training"):
+        return _run(spark, sets_path, output, golden)
+
+
+def _run(spark: SparkSession, sets_path: str, output: str, golden: DataFrame | None) -> bool:
     base = output.rstrip("/")
     started = time.time()
     train, validation, test = (

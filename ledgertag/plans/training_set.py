@@ -25,7 +25,7 @@ from ledgertag.operators.feedback import (
 )
 from ledgertag.operators.reducers import KeySet, maybe_among
 from ledgertag.operators.sampling import sample_to_size, split_by_class
-from ledgertag.session import materialize
+from ledgertag.session import materialize, scratch_scope
 from ledgertag.sources.sinks import run_metadata, write_metadata, write_splits
 from ledgertag.sources.tables import load_tables
 
@@ -129,10 +129,14 @@ def training_set(tables: dict[str, DataFrame], config: TrainingSetConfig) -> Dat
 def run(
     spark: SparkSession, paths: dict[str, str], config: TrainingSetConfig, output: str
 ) -> None:
-    """Read the tables, write the three sets below ``output/sets`` and the run's metadata."""
+    """Read the tables, write the three sets below ``output/sets`` and the run's metadata.
+
+    Intermediate tables are dropped once all is written.
+    """
     started = time.time()
     sets_path = f"{output.rstrip('/')}/sets"
-    write_splits(training_set(load_tables(spark, paths), config), sets_path)
-    elapsed = time.strftime("%H:%M:%S", time.gmtime(time.time() - started))
-    metadata = run_metadata(spark.read.parquet(sets_path), asdict(config), elapsed)
-    write_metadata(metadata, f"{output.rstrip('/')}/metadata")
+    with scratch_scope(spark, "training-set"):
+        write_splits(training_set(load_tables(spark, paths), config), sets_path)
+        elapsed = time.strftime("%H:%M:%S", time.gmtime(time.time() - started))
+        metadata = run_metadata(spark.read.parquet(sets_path), asdict(config), elapsed)
+        write_metadata(metadata, f"{output.rstrip('/')}/metadata")

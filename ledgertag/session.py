@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +49,56 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+PREFIX = "ledgertag-"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/ledgertag-{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder, inside the current scope if there is one."""
+    place = _scope.get() or f"{shared_folder(spark).rstrip('/')}/{PREFIX}{uuid.uuid4().hex}"
+    return f"{place}/{uuid.uuid4().hex}/{name}" if _scope.get() else f"{place}/{name}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """Intermediate tables written inside belong to this scope and go when it ends.
+
+    For jobs that write their output before the scope ends: a frame that is still to be computed
+    would lose its source. If the job fails the tables stay and ``scratch_scopes`` lists them; the
+    scope of a job inside another one is part of the outer one.
+    """
+    if outer := _scope.get():
+        yield outer
+        return
+    place = f"{shared_folder(spark).rstrip('/')}/{PREFIX}{name}-{uuid.uuid4().hex}"
+    token = _scope.set(place)
+    try:
+        yield place
+    finally:
+        _scope.reset(token)
+    drop_scratch(spark, place)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def scratch_scopes(spark: SparkSession) -> list[str]:
+    """The folders of this library that are left below the shared folder."""
+    system, place = _files(spark, shared_folder(spark))
+    if not system.exists(place):
+        return []
+    found = [entry.getPath() for entry in system.listStatus(place)]
+    return sorted(path.toString() for path in found if path.getName().startswith(PREFIX))
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete one of the folders that ``scratch_scopes`` lists."""
+    system, place = _files(spark, path)
+    if not place.getName().startswith(PREFIX):
+        raise ValueError(f"{path} is not a scratch folder of this library")
+    system.delete(place, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
