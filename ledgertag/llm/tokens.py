@@ -1,7 +1,8 @@
-"""Token ids of public tokenizers, word by word, with a bounded memory of words already seen.
+"""Token ids of public tokenizers.
 
-A word-level BPE never joins what white space parts, so the ids of a text are those of its
-words. Most words are repeated; a worker process keeps the ids of the words it has met.
+A word-level BPE never joins what white space parts, so the ids of a text are those of its words. Most
+words are repeated; a worker process keeps the ids of words it has met, within a bound. The byte-level
+one is fast enough on whole texts, and a memory of words only slows it down.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 
-MAX_KEPT_WORDS = 400_000
+# Words of one generation; the one before is kept, too, and words that are met again move up.
+MAX_KEPT_WORDS = 500_000
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
@@ -25,7 +27,7 @@ class WordIds(dict):
     stop or comma, goes right to the merges; all others go through the whole tokenizer.
     """
 
-    plain = re.compile(rb"([a-z\xdf-\xf6\xf8-\xff]+)([.,]?)").fullmatch
+    plain = re.compile(rb"[a-z\xdf-\xf6\xf8-\xff]+[.,]?").fullmatch
 
     def __init__(self, path: str) -> None:
         super().__init__()
@@ -41,22 +43,29 @@ class WordIds(dict):
         for code in [*range(0xDF, 0xF7), *range(0xF8, 0x100)]:
             shown = visible.pre_tokenize_str(chr(code))[0][0]
             self.visible |= dict(zip(chr(code).encode(), shown, strict=True))
-        self.marks = {b: self.ids(b.decode()) for b in (b"", b".", b",")}
+        self.marks = {b: self.ids(chr(b)) for b in b".,"}
+        self.before: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(found, "<u4").tobytes()
 
+    def _found(self, word: bytes) -> bytes:
+        if not self.plain(word):
+            return self.ids(word.decode("latin-1"))
+        if word[-1] in self.marks:
+            return self[word[:-1]] + self.marks[word[-1]]
+        shown = word.decode("latin-1")
+        if not shown.isascii():
+            shown = "".join(self.visible.get(b, chr(b)) for b in shown.encode())
+        return np.array([t.id for t in self.merges.tokenize(shown)], "<u4").tobytes()
+
     def __missing__(self, word: bytes) -> bytes:
-        if found := self.plain(word):
-            shown = found[1].decode("latin-1")
-            if not shown.isascii():
-                shown = "".join(self.visible.get(b, chr(b)) for b in shown.encode())
-            ids = [t.id for t in self.merges.tokenize(shown)]
-            value = np.array(ids, "<u4").tobytes() + self.marks[found[2]]
-        else:
-            value = self.ids(word.decode("latin-1"))
+        value = self.before.get(word)
+        if value is None:
+            value = self._found(word)
         if len(self) >= MAX_KEPT_WORDS:
+            self.before = dict(self)
             self.clear()
         self[word] = value
         return value
@@ -70,17 +79,10 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-class ByteIds(dict):
-    """Ids by word with the blank before it, for a file of byte-level ranks.
-
-    Cutting before a single blank between two visible characters never parts what the pattern
-    keeps together. Texts with other white space beside a blank go to the tokenizer whole.
-    """
-
-    runs = re.compile(r"\s\s|^\s|\s$").search
+class ByteIds:
+    """Ids for a file of byte-level ranks, a whole text at a time."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         import base64
 
         import tiktoken
@@ -91,22 +93,9 @@ class ByteIds(dict):
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
-    def ids(self, text: str) -> bytes:
-        return np.array(self.encoder.encode_ordinary(text), "<u2").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        value = self.ids(" " + word)
-        if len(self) >= MAX_KEPT_WORDS:
-            self.clear()
-        self[word] = value
-        return value
-
     def encode(self, text: str) -> bytes:
         """Two bytes for each id."""
-        if self.runs(text):
-            return self.ids(text)
-        head, *words = text.split(" ")
-        return self.ids(head) + b"".join(map(self.__getitem__, words))
+        return np.array(self.encoder.encode_ordinary(text), "<u2").tobytes()
 
 
 @lru_cache(maxsize=2)
