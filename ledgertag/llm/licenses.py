@@ -187,6 +187,8 @@ class Templates:
             for low, high in zip(words.first[:-1], words.first[1:], strict=True)
         ]
         self.all = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.bigrams]))
+        self.size = np.array([len(own) for own in self.bigrams], np.int64)
+        self.has = np.stack([np.isin(self.all, own) for own in self.bigrams], axis=1) if self.bigrams else None
         apart = [told.get(name, ((), frozenset())) for name in self.names]
         self.needed = [np.unique(self._hashes(needed), return_counts=True) for needed, _ in apart]
         self.excluded = [self._hashes(excluded) for _, excluded in apart]
@@ -195,6 +197,12 @@ class Templates:
     def _hashes(words: Iterable[str]) -> np.ndarray:
         return Words(pa.array([" ".join(words)]), LETTERS_DIGITS, lower=True).hashes()
 
+    def worth_a_look(self, bigrams: np.ndarray, dice: float) -> list[int]:
+        """Templates that share enough with these bigrams, all of them known and different ones."""
+        shared = self.has[np.searchsorted(self.all, bigrams)].sum(axis=0)
+        enough = (self.size > 0) & (shared >= self.size * dice / (2 - dice) - 1e-9)
+        return np.flatnonzero(enough).tolist()
+
     def allowed(self, k: int, words: np.ndarray) -> bool:
         """Whether a passage with these word hashes may be that template."""
         enough = all((words == word).sum() >= n for word, n in zip(*self.needed[k], strict=True))
@@ -324,17 +332,14 @@ def scan(
             rows, begins = np.unique(words.row[common], return_index=True)
             for row, own in zip(rows.tolist(), np.split(common, begins[1:]), strict=False):
                 low, high = words.first[row], words.first[row + 1] - 1
-                has, text, matches = np.unique(bigrams[own]), None, []
-                for k, template in enumerate(known.bigrams):
-                    shared = np.isin(template, has).sum()
-                    if not len(template) or shared < len(template) * dice / (2 - dice) - 1e-9:
-                        continue
+                text, matches = None, []
+                for k in known.worth_a_look(np.unique(bigrams[own]), dice):
                     text = text or Text(bigrams[low:high])
 
                     def allowed(a: int, b: int, k: int = k, low: int = low) -> bool:
                         return known.allowed(k, hashes[low + a : low + b + 1])
 
-                    for first, count, value in passages(text, template, dice, allowed):
+                    for first, count, value in passages(text, known.bigrams[k], dice, allowed):
                         matches.append({
                             "license": known.names[k],
                             "first_word": first,
