@@ -93,10 +93,12 @@ class ByteIds:
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
 
-    def encode(self, text: str) -> bytes:
+    def ids(self, text: str) -> bytes:
         """Two bytes for each id."""
         return np.array(self.encoder.encode_ordinary(text), "<u2").tobytes()
 
+    encode = ids
+
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:

@@ -4,8 +4,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
-from ledgertag.llm import separators, training_order
+from ledgertag.llm import separators, tokens, training_order
 from ledgertag.llm.storage import stage
 from ledgertag.llm.tokens import ByteIds
 
@@ -82,3 +83,23 @@ def test_empty_table(spark):
     folder = tempfile.mkdtemp()
     assert separators.write_flat(empty, folder).count() == 0
     assert separators.token_counts(spark, folder).count() == 0
+
+
+def test_ids_are_those_of_the_other_library(coder):
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    for _, text in TEXTS:
+        wanted = whole.encode((text or "")[:20_000], add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode((text or "")[:20_000]), "<u2").tolist() == wanted
+
+
+@pytest.mark.parametrize("most", [1, 3, 500_000])
+def test_word_ids_with_a_small_memory(monkeypatch, most):
+    monkeypatch.setattr(tokens, "MAX_KEPT_WORDS", most)
+    path = public_tokenizers.path(tokens.WORD_BPE)
+    words, whole = tokens.WordIds(path), Tokenizer.from_file(path)
+    texts = ["Hello, hello world. World, été Été. x1y2 don't 42. ...", "hello　日本 world.", "a a a. b, a", ""]
+    for text in texts * 3:
+        wanted = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(text), "<u4").tolist() == wanted
+        assert len(words) <= most and len(words.before) <= most
