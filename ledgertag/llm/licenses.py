@@ -298,7 +298,8 @@ def scan(
 
     Passages don't overlap. Of those that would, the best coefficient stays; of equal ones the longer
     passage, then the first in the text, then the first name. ``told_apart`` gives words (lower case)
-    that a passage must have, and others that it mustn't, by template. Null, empty and word-free texts have none. Templates need two words. Equal rows get equal results, an empty table
+    that a passage must have, and others that it mustn't, by template. Null, empty and word-free
+    texts have none. Templates need two words. Equal rows get equal results, an empty table
     gives no rows, and other columns are left out.
     """
     if not 0 < dice <= 1:
