@@ -1,8 +1,8 @@
 """Tokens per document from flat token files, by a scan for the end-of-document id.
 
-The files hold nothing but ids. They are looked at in blocks: within a block a vectorised search
-finds the ends, and a prefix scan over the blocks carries the length of the document that is still
-open from one block into the next.
+The files hold nothing but ids. They are looked at in blocks, by tasks that seek to a run of blocks:
+within a block a vectorised search finds the ends, and a prefix scan, within each run and then over
+the runs, carries the length of the document that is still open from one block into the next.
 """
 
 from __future__ import annotations
@@ -18,14 +18,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgertag.llm.files import Published
-from ledgertag.llm.storage import column, text_slices
+from ledgertag.llm.files import Published, located
+from ledgertag.llm.storage import column, stage, text_slices
 from ledgertag.llm.tokens import BYTE_BPE, byte_ids
 
 END = 50256
 KIND = "<u2"
 # Ids in a block, and in a file of ``write_flat`` at most, but for one long document.
 BLOCK = 1 << 18
+# Blocks that a task reads one after the other (32 MB), and runs for a task if there are very many.
+RUN = 64
+TASK_RUNS = 32
 FILE_IDS = 4 << 20
 
 
@@ -71,87 +74,118 @@ def write_flat(
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _blocks(files: DataFrame, end: int, kind: str, block: int) -> DataFrame:
-    """Per block: ids before the first end (all, if none), after the last, and lengths between ends."""
+def _runs(spark: SparkSession, folder: str, width: int, block: int, run: int) -> DataFrame:
+    """``file``, ``run`` and the file's ``length`` in bytes; a run is ``run`` blocks in a row.
+
+    Names and lengths come from a listing, so no content is read here. Runs are dealt out evenly.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder)
+    name = F.element_at(F.split("path", "/"), -1)
+    size = run * block * width
+    files = listed.where("length > 0").select(
+        name.alias("file"), "length", F.floor((F.col("length") - 1) / size).alias("last")
+    )
+    count = files.agg(F.sum(F.col("last") + 1)).first()[0] or 0
+    tasks = max(1, min(count, max(spark.sparkContext.defaultParallelism, -(-count // TASK_RUNS))))
+    number = F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("run")
+    return files.select("file", number, "length").repartition(tasks)
+
+
+def _blocks(runs: DataFrame, folder: str, end: int, kind: str, block: int, run: int) -> DataFrame:
+    """A row for each block, read at its place in the file.
+
+    ``ends``, ids before the first end (``head``; all, if none) and after the last (``tail``), and
+    lengths between ends (``inner``). ``done`` counts the ends that come before in the run, ``open``
+    the ids since the last of them or since the run began.
+    """
+    numbers = ["run", "block", "done", "open", "ends", "head", "tail"]
     schema = T.StructType([
         T.StructField("file", T.StringType()),
-        T.StructField("block", T.LongType()),
-        T.StructField("ends", T.LongType()),
-        T.StructField("head", T.LongType()),
-        T.StructField("tail", T.LongType()),
+        *(T.StructField(name, T.LongType()) for name in numbers),
         T.StructField("inner", T.ArrayType(T.LongType())),
     ])
+    width = np.dtype(kind).itemsize
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, path = located(folder)
         for batch in batches:
-            for k in range(batch.num_rows):
-                ids = np.frombuffer(column(batch, "content")[k].as_buffer(), kind)
-                rows = []
-                for low in range(0, len(ids), block):
-                    own = ids[low : low + block]
-                    at = np.flatnonzero(own == end)
-                    head = int(at[0]) if len(at) else len(own)
-                    tail = len(own) - 1 - int(at[-1]) if len(at) else len(own)
-                    rows.append((low // block, len(at), head, tail, np.diff(at) - 1))
-                name = column(batch, "file")[k].as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(rows), pa.string()),
-                        *(pa.array([r[i] for r in rows], pa.int64()) for i in range(4)),
-                        pa.array([r[4] for r in rows], pa.list_(pa.int64())),
-                    ],
-                    names=schema.names,
-                )
-
-    return files.select("file", "content").mapInArrow(run, schema)
+            for row in batch.to_pylist():
+                if row["length"] % width:
+                    raise ValueError(f"{row['file']} does not hold whole ids")
+                done = since = 0
+                with system.open_input_file(f"{path}/{row['file']}") as file:
+                    file.seek(row["run"] * run * block * width)
+                    for k in range(run):
+                        own = np.frombuffer(file.read(block * width), kind)
+                        if not len(own):
+                            break
+                        at = np.flatnonzero(own == end)
+                        head = int(at[0]) if len(at) else len(own)
+                        tail = len(own) - 1 - int(at[-1]) if len(at) else len(own)
+                        found = (row["run"], k, done, since, len(at), head, tail)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([row["file"]]),
+                                *(pa.array([x], pa.int64()) for x in found),
+                                pa.array([np.diff(at) - 1], pa.list_(pa.int64())),
+                            ],
+                            names=schema.names,
+                        )
+                        done += len(at)
+                        since = tail if len(at) else since + tail
+
+    return runs.mapInArrow(scan, schema)
 
 
 def token_counts(
-    spark: SparkSession, folder: str, end: int = END, kind: str = KIND, block: int = BLOCK
+    spark: SparkSession,
+    folder: str,
+    end: int = END,
+    kind: str = KIND,
+    block: int = BLOCK,
+    run: int = RUN,
 ) -> DataFrame:
     """``file``, ``number``, ``n_tokens`` (without the end id) and ``ended`` of each document.
 
     Ids after the last end of a file are a document that has not ended; a file that stops right
-    after an end has none, and an empty file has no documents. ``kind`` is the type of an id. A file
-    is one row of Spark's binary source, which refuses files of 2 GB and more.
+    after an end has none, and an empty file has no documents. ``kind`` is the type of an id. Files
+    may have any length: tasks seek to runs of ``run`` blocks and read them block by block, and
+    what is scanned over a file in one task is a row of a few numbers for each run. A file that
+    ends within an id raises.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    blocks = _blocks(files.select(name.alias("file"), "content"), end, kind, block)
-    order = W.partitionBy("file").orderBy("block")
+    runs = _runs(spark, folder, np.dtype(kind).itemsize, block, run)
+    blocks = stage(_blocks(runs, folder, end, kind, block, run), "blocks")
+    ended = F.col("ends") > 0
+    # The ids before the first end of a run and after its last one; all of them if it has none.
+    whole = blocks.groupBy("file", "run").agg(
+        F.sum("ends").alias("ends"),
+        F.max_by(F.when(ended, F.col("tail")).otherwise(F.col("open") + F.col("tail")), "block").alias("tail"),
+    )
+    order = W.partitionBy("file").orderBy("run")
     before = order.rowsBetween(W.unboundedPreceding, -1)
-    # Blocks since the last one that has an end; their tails add up to what is open at a block.
-    seen = blocks.withColumns({
-        "done": F.coalesce(F.sum("ends").over(before), F.lit(0)),
-        "run": F.coalesce(F.sum((F.col("ends") > 0).cast("int")).over(before), F.lit(0)),
-        "last": F.lead("block").over(order).isNull(),
+    # Runs since the last one that has an end; their tails add up to what is open at a run.
+    seen = whole.withColumns({
+        "before": F.coalesce(F.sum("ends").over(before), F.lit(0)),
+        "lap": F.coalesce(F.sum(ended.cast("int")).over(before), F.lit(0)),
+        "last": F.lead("run").over(order).isNull(),
+        # A lap begins after a run with an end, so its first run inherits that run's tail.
+        "tail_before": F.coalesce(F.lag("tail").over(order), F.lit(0)),
     })
-    within = W.partitionBy("file", "run").orderBy("block")
-    # A run begins after a block with an end, so its first block inherits that block's tail.
-    tail_before = F.coalesce(F.lag("tail").over(order), F.lit(0))
-    carried = seen.withColumn("tail_before", tail_before).withColumn(
-        "open", F.sum("tail_before").over(within.rowsBetween(W.unboundedPreceding, 0))
-    )
-    first = F.struct(
-        F.col("done").alias("number"),
-        (F.col("open") + F.col("head")).alias("n_tokens"),
-        F.lit(True).alias("ended"),
-    )
-    others = F.transform(
-        "inner",
-        lambda n, k: F.struct(
-            (F.col("done") + 1 + k).alias("number"), n.alias("n_tokens"), F.lit(True).alias("ended")
-        ),
-    )
-    open_end = F.when(F.col("ends") > 0, F.col("tail")).otherwise(F.col("open") + F.col("tail"))
-    rest = F.struct(
-        (F.col("done") + F.col("ends")).alias("number"),
-        open_end.alias("n_tokens"),
+    within = W.partitionBy("file", "lap").orderBy("run").rowsBetween(W.unboundedPreceding, 0)
+    carried = seen.withColumn("carry", F.sum("tail_before").over(within))
+    placed = blocks.where(ended).join(carried.select("file", "run", "before", "carry"), ["file", "run"])
+    start = F.col("before") + F.col("done")
+    # What is open from earlier runs belongs to the first end of this one.
+    first = F.col("open") + F.col("head") + F.when(F.col("done") == 0, F.col("carry")).otherwise(0)
+    lengths = F.concat(F.array(first), "inner")
+    closed = placed.select("file", start.alias("start"), F.posexplode(lengths).alias("k", "n_tokens"))
+    left = F.when(ended, F.col("tail")).otherwise(F.col("carry") + F.col("tail"))
+    rest = carried.where("last").select(
+        "file",
+        (F.col("before") + F.col("ends")).alias("number"),
+        left.alias("n_tokens"),
         F.lit(False).alias("ended"),
     )
-    none = F.array().cast("array<struct<number:bigint,n_tokens:bigint,ended:boolean>>")
-    closed = F.when(F.col("ends") > 0, F.concat(F.array(first), others)).otherwise(none)
-    left = F.when(F.col("last") & (open_end > 0), F.array(rest)).otherwise(none)
-    return carried.select("file", F.explode(F.concat(closed, left)).alias("d")).select(
-        "file", "d.number", "d.n_tokens", "d.ended"
-    )
+    return closed.select(
+        "file", (F.col("start") + F.col("k")).alias("number"), "n_tokens", F.lit(True).alias("ended")
+    ).unionByName(rest.where("n_tokens > 0"))

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgertag.llm import separators, tokens, training_order
@@ -54,6 +55,37 @@ def test_open_ends_empty_files_and_long_documents(spark):
     ]
 
 
+@pytest.mark.parametrize("block, run", [(1, 1), (2, 3), (5, 2), (64, 1), (7, 100)])
+def test_runs_of_a_file_are_stitched_and_read_by_many_tasks(spark, block, run):
+    rng = np.random.default_rng(block)
+    folder, want = tempfile.mkdtemp(), []
+    for name, share in (("a.ids", 0.3), ("b.ids", 0.01), ("c.ids", 0.0), ("d.ids", 1.0)):
+        ids = np.where(rng.random(rng.integers(150, 300)) < share, 50256, 9).astype("<u2")
+        ids.tofile(f"{folder}/{name}")
+        parts = np.split(ids, np.flatnonzero(ids == 50256) + 1)
+        want += [(name, k, len(x) - 1, True) for k, x in enumerate(parts[:-1])]
+        if len(parts[-1]):
+            want.append((name, len(parts) - 1, len(parts[-1]), False))
+    # The limit of the source stands for files of 2 GB: what is only listed may be longer.
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        found = separators.token_counts(spark, folder, block=block, run=run).collect()
+        runs = separators._runs(spark, folder, 2, block, run)
+        used = runs.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted(tuple(r) for r in found) == sorted(want)
+    assert used > 1
+
+
+def test_a_file_that_ends_within_an_id_raises(spark):
+    folder = tempfile.mkdtemp()
+    with open(f"{folder}/a.ids", "wb") as file:
+        file.write(b"abc")
+    with pytest.raises(Exception, match="whole ids"):
+        separators.token_counts(spark, folder).collect()
+
+
 @pytest.mark.parametrize("count", [0, 1, 2, 3, 7, 1000, 1025])
 def test_slots_are_a_permutation_that_can_be_undone(count):
     order = training_order.Permutation(count)
