@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgertag.session import scratch_path
@@ -26,6 +26,24 @@ def stage(df: DataFrame, name: str, options: dict[str, str] | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest(df: DataFrame, digest: Column, ties: list[str], count: int) -> DataFrame:
+    """The ``count`` rows with the smallest digest, a 64-bit number that spreads evenly.
+
+    Digests are counted by their first 16 bits, so that only rows up to the cut are sorted, and not
+    ``count`` rows of every partition.
+    """
+    prefix = F.shiftright(digest, 48)
+    counts = dict(df.groupBy(prefix.alias("prefix")).count().toLocalIterator())
+    total, cut = 0, None
+    for cut in sorted(counts):
+        total += counts[cut]
+        if total >= count:
+            break
+    if total <= count:
+        return df if cut is None else df.where(prefix <= cut)
+    return df.where(prefix <= cut).orderBy(digest, *ties).limit(count)
+
+
 # 128 bits that name a row by its id and text; only equal rows share them.
 ROW = ["row_a", "row_b"]
 

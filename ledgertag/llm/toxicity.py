@@ -1,9 +1,10 @@
 """Toxicity of texts by a weighted finite-state grammar over clauses.
 
-Words become symbols (insult, threat, target, negation, report, clause end, other). Small
+Words become symbols (insult, threat, target, negation, report, restriction, other). Small
 transducers are composed into one: the first marks what a negation reaches, the second what is
-reported speech, the third what has a target in its clause. The composed machine reads every
-clause that has an insult or threat in it and writes one outcome for each match; a text is scored
+reported speech, the third what has a target before it in its clause. The composed machine reads
+every clause that has an insult or threat in it from the left, and the third reads what it wrote
+again from the right, for targets that come after. So each match gets one outcome; a text is scored
 by its outcomes, not by single words.
 
 Which words insult is learned: from labelled rows, words and word beginnings that mark toxic texts.
@@ -21,14 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgertag.llm.storage import column, stage, text_slices
+from ledgertag.llm.storage import column, smallest, stage, text_slices
 from ledgertag.llm.words import LETTERS, Words
 
 THRESHOLD = 0.7
 # Labelled rows to learn from: those with the smallest digest of their id, if there are more.
 MAX_LABELLED = 200_000
-# Entries of the learned word list at most, the strongest first.
-MAX_TERMS = 20_000
 MIN_LOG_ODDS = 4.0
 MIN_PURITY = 0.97  # share of toxic texts among the labelled ones that have the term
 STEMS = (3, 4, 5, 6)  # lengths of word beginnings in bytes
@@ -36,20 +35,27 @@ STEMS = (3, 4, 5, 6)  # lengths of word beginnings in bytes
 # Seeds of the word classes, in English, German, French and Spanish.
 INSULTS = "idiot moron stupid loser scum trash worthless pathetic disgusting clown dumb imbecile"
 THREATS = "kill hurt destroy töten umbringen frapper matar golpear"
-TARGETS = "you your he she they them these those du dich ihr euch sie tu toi vous vos tú usted ustedes"
+TARGETS = (
+    "you your yourself he him his she her they them their us me these those "
+    "du dich dir dein ihr ihm ihn ihnen euch euer sie mich mir uns "
+    "tu te toi ton vous vos votre lui leur eux moi "
+    "tú ti tus usted ustedes vosotros ellos ellas"
+)
 NEGATIONS = "not never no isn aren don doesn nicht kein keine nie pas jamais ne nunca ni"
 REPORTS = "said says wrote called quoted claimed sagte schrieb nannte dit écrit appelé dijo escribió"
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+# After a negation these take it back: "not only".
+RESTRICTIONS = "only just merely nur bloß seulement solo sólo solamente"
+
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, RESTRICTION = range(7)
 # Outcomes of a match, after the three transducers.
 OUTCOMES = ("insult", "threat", "negated", "reported", "targeted insult", "targeted threat")
 # Symbols between the transducers: matches that were marked.
-NEGATED, REPORTED, TARGETED_INSULT, TARGETED_THREAT = range(6, 10)
+NEGATED, REPORTED, TARGETED_INSULT, TARGETED_THREAT = range(7, 11)
 OUTCOME_OF = {INSULT: 0, THREAT: 1, NEGATED: 2, REPORTED: 3, TARGETED_INSULT: 4, TARGETED_THREAT: 5}
 CLAUSE_ENDS = b".!?;:\n"
 REACH = 3  # words that a negation reaches
 COUNTS = "_outcome_counts"
-MOST = 6  # a count of outcomes goes into the score up to this; more of a kind say nothing new
 
 
 @dataclass
@@ -81,13 +87,14 @@ def compose(first: Transducer, second: Transducer, symbols: range) -> Transducer
 
 
 def negation() -> Transducer:
-    """State: how many more words the last negation reaches."""
+    """State: how many more words the last negation reaches; a restriction right after it ends it."""
     moves = {}
     for left in range(REACH + 1):
-        for symbol in range(6):
+        for symbol in range(7):
             after = max(left - 1, 0)
             out = NEGATED if left and symbol in (INSULT, THREAT) else symbol
             moves[left, symbol] = (REACH, symbol) if symbol == NEGATION else (after, out)
+    moves[REACH, RESTRICTION] = (0, RESTRICTION)
     return Transducer(0, moves)
 
 
@@ -104,7 +111,7 @@ def reported() -> Transducer:
 
 
 def targeted() -> Transducer:
-    """A match after a target in its clause."""
+    """A match that is read after a target of its clause."""
     return Transducer(
         False,
         {
@@ -115,17 +122,32 @@ def targeted() -> Transducer:
     )
 
 
-def grammar() -> Transducer:
-    symbols = range(10)
-    return compose(compose(negation(), reported(), symbols), targeted(), symbols)
+@dataclass
+class Grammar:
+    """``forward`` reads a clause from the left; ``backward`` reads what it wrote from the right."""
+
+    forward: Transducer
+    backward: Transducer
+
+    def write(self, clause: list[int]) -> list[int]:
+        for machine in (self.forward, self.backward):
+            state, out = machine.start, []
+            for symbol in clause:
+                state, written = machine.step(state, symbol)
+                out.append(written)
+            clause = out[::-1]
+        return clause
+
 
+def grammar() -> Grammar:
+    symbols = range(11)
+    return Grammar(compose(compose(negation(), reported(), symbols), targeted(), symbols), targeted())
 
-def outcomes(machine: Transducer, clause: list[int]) -> list[int]:
+
+def outcomes(machine: Grammar, clause: list[int]) -> list[int]:
     """How often each outcome is written for the symbols of one clause."""
     counts = [0] * len(OUTCOMES)
-    state = machine.start
-    for symbol in clause:
-        state, out = machine.step(state, symbol)
+    for out in machine.write(clause):
         if out in OUTCOME_OF:
             counts[OUTCOME_OF[out]] += 1
     return counts
@@ -142,6 +164,7 @@ def seed_classes() -> dict[int, np.ndarray]:
         TARGET: TARGETS,
         NEGATION: NEGATIONS,
         REPORT: REPORTS,
+        RESTRICTION: RESTRICTIONS,
     }
     return {kind: np.unique(_word_hashes(text)) for kind, text in named.items()}
 
@@ -207,7 +230,7 @@ class Lexicon:
         """The symbol of each word."""
         out = np.zeros(len(words), np.int8)
         whole = words.hashes()
-        for kind in (REPORT, NEGATION, TARGET, THREAT, INSULT):
+        for kind in (RESTRICTION, REPORT, NEGATION, TARGET, THREAT, INSULT):
             out[np.isin(whole, self.seeds[kind])] = kind
         for length, found in _features(words):
             known = self.terms.get(length)
@@ -216,8 +239,8 @@ class Lexicon:
         return out
 
 
-def text_outcomes(texts: pa.Array, lexicon: Lexicon, machine: Transducer) -> np.ndarray:
-    """Counts of outcomes for each text, over its matched clauses, each up to MOST."""
+def text_outcomes(texts: pa.Array, lexicon: Lexicon, machine: Grammar) -> np.ndarray:
+    """Counts of outcomes for each text, over its matched clauses."""
     words = Words(texts, LETTERS, lower=True)
     counts = np.zeros((len(texts), len(OUTCOMES)), np.int64)
     if not len(words):
@@ -238,7 +261,7 @@ def text_outcomes(texts: pa.Array, lexicon: Lexicon, machine: Transducer) -> np.
     for c in np.unique(clause[matched]).tolist():
         low, high = first[c], first[c + 1]
         counts[row[low]] += outcomes(machine, symbol[low:high].tolist())
-    return np.minimum(counts, MOST)
+    return counts
 
 
 def training_rows(labels: DataFrame, chosen: Column, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -248,7 +271,7 @@ def training_rows(labels: DataFrame, chosen: Column, max_labelled: int = MAX_LAB
     """
     known = labels.where("toxic is not null and doc_id is not null").where(chosen)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    return smallest(known, F.xxhash64("doc_id"), ["doc_id"], max_labelled)
 
 
 @dataclass
@@ -258,7 +281,7 @@ class Model:
     weights: np.ndarray  # the constant first, then by outcome
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.weights[0] + counts @ self.weights[1:])))
+        return 1 / (1 + np.exp(-(self.weights[0] + np.log2(1 + counts) @ self.weights[1:])))
 
 
 def _as_hashes(values: list[int]) -> np.ndarray:
@@ -291,12 +314,9 @@ def _learn_terms(texts: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray]:
         evidence.alias("evidence"),
         (t / (t + o)).alias("purity"),
     )
-    strong = (
-        measured.where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("purity") >= MIN_PURITY))
-        .where(F.col("evidence") >= float(np.log(max(counts.count(), 1))))
-        .orderBy(F.desc("evidence"), "length", "term")
-        .limit(MAX_TERMS)
-    )
+    # All of them are kept: each needs several of the labelled texts, whose number is bounded.
+    strong = measured.where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("purity") >= MIN_PURITY))
+    strong = strong.where(F.col("evidence") >= float(np.log(max(counts.count(), 1))))
     found: dict[int, list[int]] = {}
     for row in strong.toLocalIterator():
         found.setdefault(row["length"], []).append(row["term"])
@@ -309,8 +329,11 @@ def _learn_terms(texts: DataFrame) -> tuple[dict[int, np.ndarray], np.ndarray]:
 
 
 def _fit(table: list[tuple]) -> np.ndarray:
-    """Logistic regression on counted rows (outcome counts, toxic, other), by Newton's method."""
-    x = np.array([[1.0, *row[0]] for row in table]).reshape(-1, len(OUTCOMES) + 1)
+    """Logistic regression on counted rows (outcome counts, toxic, other), by Newton's method.
+
+    A count n speaks with log2(1 + n): one match counts as one, and no number of them is cut off.
+    """
+    x = np.array([[1.0, *np.log2(1 + np.array(row[0]))] for row in table]).reshape(-1, len(OUTCOMES) + 1)
     toxic = np.array([float(row[1]) for row in table])
     total = toxic + np.array([float(row[2]) for row in table])
     # Without labels: one match is enough, unless it is negated or reported.
@@ -359,7 +382,7 @@ def fit(docs: DataFrame, labels: DataFrame, chosen: Column, max_labelled: int =
     texts = stage(texts, "labelled")
     terms, harmless = _learn_terms(texts)
     toxic = F.when(F.col("toxic") == 1, 1).otherwise(0)
-    # Outcomes are small numbers, so this table has a bounded number of rows.
+    # Most texts share a few counts, and there are no more rows than labelled texts.
     counted = (
         _with_outcomes(texts, terms, harmless, ["toxic"])
         .groupBy(COUNTS)
@@ -371,7 +394,7 @@ def fit(docs: DataFrame, labels: DataFrame, chosen: Column, max_labelled: int =
 def _score(model: Model) -> Column:
     total = F.lit(float(model.weights[0]))
     for k, weight in enumerate(model.weights[1:].tolist()):
-        total = total + F.col(COUNTS)[k] * F.lit(weight)
+        total = total + F.log2(1 + F.col(COUNTS)[k]) * F.lit(weight)
     return 1 / (1 + F.exp(-total))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgertag.llm import toxicity as tox
+from ledgertag.llm.storage import smallest
 
 SF_DIR = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, score string, toxic int, outcomes int"
@@ -21,7 +22,17 @@ def counts(text):
     [
         ("What an IDIOT.", "insult"),
         ("You are an idiot.", "targeted insult"),
-        ("I will kill you", "threat"),
+        ("I will kill you", "targeted threat"),
+        ("I will kill, he wrote", "targeted threat"),
+        ("kill him now", "targeted threat"),
+        ("idiot that you are", "targeted insult"),
+        ("Ich werde dir nicht sagen: umbringen", "threat"),
+        ("frapper te", "targeted threat"),
+        ("Fear to kill", "threat"),
+        ("You are not only an idiot.", "targeted insult"),
+        ("Du bist nicht nur ein idiot", "targeted insult"),
+        ("Only an idiot", "insult"),
+        ("You are not an only idiot", "negated"),
         ("They will hurt them", "targeted threat"),
         ("You are not an idiot.", "negated"),
         ("She said he is an idiot.", "reported"),
@@ -44,14 +55,14 @@ def test_composition_equals_one_after_the_other():
     rng = np.random.default_rng(1)
     whole = tox.grammar()
     for _ in range(300):
-        clause = rng.integers(0, 6, 12).tolist()
+        clause = rng.integers(0, 7, 12).tolist()
         symbols = clause
-        for machine in (tox.negation(), tox.reported(), tox.targeted()):
+        for machine, way in ((tox.negation(), 1), (tox.reported(), 1), (tox.targeted(), 1), (tox.targeted(), -1)):
             state, out = machine.start, []
-            for s in symbols:
+            for s in symbols[::way]:
                 state, o = machine.step(state, s)
                 out.append(o)
-            symbols = out
+            symbols = out[::way]
         want = [0] * len(tox.OUTCOMES)
         for s in symbols:
             if s in tox.OUTCOME_OF:
@@ -59,6 +70,29 @@ def test_composition_equals_one_after_the_other():
         assert tox.outcomes(whole, clause) == want
 
 
+def test_all_matches_count_and_more_never_say_less():
+    assert counts("you idiot " * 5000)["targeted insult"] == 5000
+    model = tox.Model(*NO_TERMS, tox._fit([]))
+    many = np.array([[0, n, 0, 0, 0, 0] for n in (0, 1, 2, 100, 10**6)])
+    assert (np.diff(model.scores(many)) > 0).all()
+
+
+def test_all_strong_terms_are_kept(spark):
+    words = [f"{a}{b}{c}zzz" for a in "abcdefghij" for b in "klmnopqrst" for c in "uvwxyzabcd"]
+    rows = [(" ".join(words), 1)] * 30 + [("plain words here", 0)] * 200
+    terms, _ = tox._learn_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    assert len(terms[0]) == 1000
+
+
+def test_the_smallest_digests(spark):
+    frame = spark.range(5000).repartition(7)
+    digest = F.xxhash64("id")
+    for count in (0, 1, 700, 5000, 9000):
+        want = [r.id for r in frame.orderBy(digest, "id").limit(count).collect()]
+        assert sorted(r.id for r in smallest(frame, digest, ["id"], count).collect()) == sorted(want)
+    assert smallest(frame.where("id < 0"), digest, ["id"], 5).count() == 0
+
+
 def test_without_labels_seeds_decide_and_odd_rows_have_a_score(spark):
     rows = [(1, "you idiot"), (2, None), (3, ""), (3, ""), (None, "moron"), (4, "nice"), (5, "fine day " * 30_000 + "idiot")]
     docs = spark.createDataFrame([(*r, "s", 1, 2) for r in rows], SCHEMA)
