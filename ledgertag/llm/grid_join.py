@@ -2,10 +2,11 @@
 
 Unit vectors with a cosine of at least t are no further apart than eps = sqrt(2 - 2 t). Vectors are
 projected on leading principal dimensions and sorted by their grid cells (side eps) there. The
-sorted sequence is cut into leaves, leaves into a tree of intervals, each with a bounding box.
-Starting from the top, pairs of intervals whose boxes are more than eps apart are skipped, the
-others are replaced by the pairs of their parts. Inside a pair of leaves the same goes on with
-halves, and only the smallest pieces are multiplied out.
+sorted sequence is cut into leaves, leaves into a tree of intervals, each with a bounding box on the
+leading dimensions and the length of what lies outside them. Starting from the top, pairs of
+intervals whose boxes are more than eps apart are skipped, the others are replaced by the pairs of
+their parts. Pairs of leaves are dealt out as tiles, so that a leaf travels once for several partners.
+Inside a pair the same goes on with halves, and only the smallest pieces are multiplied out.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgertag.llm.components import components
-from ledgertag.llm.storage import column, stage
+from ledgertag.llm.storage import column, smallest, stage
 
 COSINE = 0.95
 DIMENSIONS = 8
@@ -29,6 +30,8 @@ DIMENSIONS = 8
 LEAF = 2048
 PIECE = 128
 FAN = 8
+# Leaves on either side of a tile, at most; one side is held by a task at once.
+TILE = 4
 # Vectors at most that the principal dimensions are fitted on: those with the smallest digest. The
 # choice of dimensions decides how much is skipped, not what is found.
 FIT_ROWS = 10_000
@@ -50,20 +53,30 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return wide / np.sqrt((wide * wide).sum(axis=1, keepdims=True))
 
 
+def located(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors on the leading axes, and the length of what is left of them.
+
+    Lengths of two remainders differ by no more than the remainders are apart, so these coordinates
+    are never further apart than the vectors.
+    """
+    at = x @ axes
+    return np.column_stack([at, np.linalg.norm(x - at @ axes.T, axis=1)])
+
+
 def _matrix(vectors: pa.Array, size: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
 def principal(classes: DataFrame, size: int) -> np.ndarray:
     """Leading directions of at most FIT_ROWS vectors, as columns."""
-    sample = classes.orderBy(F.xxhash64("embedding"), "node").select("embedding").limit(FIT_ROWS)
+    sample = smallest(classes, F.xxhash64("embedding"), ["node"], FIT_ROWS).select("embedding")
     x = units(np.array([row[0] for row in sample.toLocalIterator()]).reshape(-1, size))
     _, directions = np.linalg.eigh(np.cov(x.T) if len(x) > 1 else np.eye(size))
     return np.atleast_2d(directions)[:, ::-1][:, :DIMENSIONS]
 
 
 def _leaves(classes: DataFrame, axes: np.ndarray, eps: float, leaf_size: int) -> DataFrame:
-    """Leaves in grid order: ``part``, ``place``, their vectors, and the box on the leading axes."""
+    """Leaves in grid order: ``part``, ``place``, their vectors, and the box of their coordinates."""
     size, depth = axes.shape
     element = classes.schema["embedding"].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
@@ -88,7 +101,7 @@ def _leaves(classes: DataFrame, axes: np.ndarray, eps: float, leaf_size: int) ->
         T.StructField("nodes", T.BinaryType()),
         T.StructField("weights", T.BinaryType()),
         T.StructField("vectors", T.BinaryType()),
-        *(T.StructField(f"{end}{k}", T.DoubleType()) for end in ("low", "high") for k in range(depth)),
+        *(T.StructField(f"{end}{k}", T.DoubleType()) for end in ("low", "high") for k in range(depth + 1)),
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +115,7 @@ def _leaves(classes: DataFrame, axes: np.ndarray, eps: float, leaf_size: int) ->
             end = count if last else count - count % leaf_size
             for low in range(0, end, leaf_size):
                 own = slice(low, min(low + leaf_size, end))
-                at = units(vectors[own]) @ axes
+                at = located(units(vectors[own]), axes)
                 box = [*at.min(axis=0).tolist(), *at.max(axis=0).tolist()]
                 data = [x[own].tobytes() for x in (nodes, weights, vectors)]
                 yield pa.RecordBatch.from_arrays(
@@ -151,7 +164,10 @@ def _second(boxes: DataFrame, depth: int) -> DataFrame:
 
 
 def close_leaves(leaves: DataFrame, depth: int, eps: float) -> DataFrame:
-    """Pairs of leaves (each pair once, leaves with themselves, too) that the boxes don't rule out."""
+    """Pairs of leaves that the boxes don't rule out: each once, leaves with themselves, too.
+
+    ``depth`` is the number of coordinates of a box.
+    """
     ends = [f"{end}{k}" for end in ("low", "high") for k in range(depth)]
     tightest = [
         *(F.min(f"low{k}").alias(f"low{k}") for k in range(depth)),
@@ -220,7 +236,7 @@ def _hits(
     a: np.ndarray, b: np.ndarray, axes: np.ndarray, cosine: float, eps: float, same: bool
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a and b with the cosine or more; each pair once if both are the same leaf."""
-    at, to = a @ axes, b @ axes
+    at, to = located(a, axes), located(b, axes)
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -247,7 +263,23 @@ def _hits(
     return tuple(np.concatenate(z) for z in zip(*found, strict=True))
 
 
-def _leaf_links(pairs: DataFrame, axes: np.ndarray, cosine: float, eps: float, kind: str) -> DataFrame:
+def _tiles(pairs: DataFrame, leaves: DataFrame) -> DataFrame:
+    """The leaves of each tile, those of the second side first, the others with their partners."""
+    first = F.floor(F.col("place") / TILE).alias("row")
+    second = F.floor(F.col("PLACE_") / TILE).alias("col")
+    dealt = pairs.select("*", F.col("part").alias("row_part"), first, F.col("PART_").alias("col_part"), second)
+    tile = ["row_part", "row", "col_part", "col"]
+    partner = F.struct(F.col("PART_").alias("part"), F.col("PLACE_").alias("place"))
+    left = dealt.groupBy(*tile, "part", "place").agg(F.collect_list(partner).alias("partners"))
+    right = dealt.select(*tile, partner.alias("leaf")).distinct().select(*tile, "leaf.*")
+    nothing = F.lit(None).cast(left.schema["partners"].dataType)
+    wanted = right.withColumn("partners", nothing).unionByName(left)
+    data = leaves.select("part", "place", "nodes", "weights", "vectors")
+    placed = wanted.join(data, ["part", "place"]).withColumn("side", F.col("partners").isNotNull())
+    return placed.repartition(*tile).sortWithinPartitions(*tile, "side")
+
+
+def _leaf_links(tiles: DataFrame, axes: np.ndarray, cosine: float, eps: float, kind: str) -> DataFrame:
     """For each pair of leaves: how many vectors each node links to, and edges that connect them."""
     schema = T.StructType([
         T.StructField("node", T.LongType()),
@@ -256,33 +288,41 @@ def _leaf_links(pairs: DataFrame, axes: np.ndarray, cosine: float, eps: float, k
     ])
     size = axes.shape[0]
 
+    def links(one: tuple, two: tuple, same: bool) -> pa.RecordBatch:
+        i, j = _hits(one[2], two[2], axes, cosine, eps, same)
+        node, weight = one[:2]
+        if not same:
+            node, weight = np.concatenate([node, two[0]]), np.concatenate([weight, two[1]])
+            j = j + len(one[0])
+        count = np.zeros(len(node), np.int64)
+        np.add.at(count, i, weight[j])
+        np.add.at(count, j, weight[i])
+        root = node[_components(len(node), i, j)]
+        linked = count > 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x[linked]) for x in (node, count, root)], names=schema.names
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, {}
         for batch in batches:
-            for row in batch.to_pylist():
-                same = (row["part"], row["place"]) == (row["PART_"], row["PLACE_"])
-                nodes, weights, vectors = [], [], []
-                for end in ("", "_2"):
-                    nodes.append(np.frombuffer(row["nodes" + end], np.int64))
-                    weights.append(np.frombuffer(row["weights" + end], np.int64))
-                    raw = np.frombuffer(row["vectors" + end], kind).reshape(-1, size)
-                    vectors.append(units(raw))
-                i, j = _hits(*vectors, axes, cosine, eps, same)
-                first = len(nodes[0])
-                if same:
-                    node, weight = nodes[0], weights[0]
-                else:
-                    node, weight = np.concatenate(nodes), np.concatenate(weights)
-                    j = j + first
-                links = np.zeros(len(node), np.int64)
-                np.add.at(links, i, weight[j])
-                np.add.at(links, j, weight[i])
-                root = node[_components(len(node), i, j)]
-                linked = links > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[linked]) for x in (node, links, root)], names=schema.names
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if tile != (own := tuple(row[name] for name in ("row_part", "row", "col_part", "col"))):
+                    tile, held = own, {}
+                leaf = (
+                    np.frombuffer(row["nodes"], np.int64),
+                    np.frombuffer(row["weights"], np.int64),
+                    units(np.frombuffer(row["vectors"], kind).reshape(-1, size)),
                 )
+                at = row["part"], row["place"]
+                if row["partners"] is None:
+                    held[at] = leaf
+                for other in row["partners"] or ():
+                    to = other["part"], other["place"]
+                    yield links(leaf, held[to], at == to)
 
-    return pairs.mapInArrow(run, schema)
+    return tiles.mapInArrow(run, schema)
 
 
 def _joined(classes: DataFrame, size: int, cosine: float, leaf_size: int) -> DataFrame:
@@ -291,13 +331,10 @@ def _joined(classes: DataFrame, size: int, cosine: float, leaf_size: int) -> Dat
     axes = principal(classes, size)
     depth = axes.shape[1]
     leaves = stage(_leaves(classes, axes, eps, leaf_size), "leaves")
-    pairs = close_leaves(leaves, depth, eps)
-    data = leaves.select("part", "place", "nodes", "weights", "vectors")
-    other = data.toDF("PART_", "PLACE_", "nodes_2", "weights_2", "vectors_2")
+    pairs = close_leaves(leaves, depth + 1, eps)
     element = classes.schema["embedding"].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
-    full = pairs.join(data, ["part", "place"]).join(other, ["PART_", "PLACE_"])
-    return _leaf_links(full, axes, cosine, eps, kind)
+    return _leaf_links(_tiles(pairs, leaves), axes, cosine, eps, kind)
 
 
 def linked(vectors: DataFrame, cosine: float = COSINE, leaf_size: int = LEAF) -> DataFrame:

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from ledgertag.llm import grid_join
+from ledgertag.llm.storage import stage
 
 SCHEMA = "vec_id long, embedding array<float>, node string, weight int"
 
@@ -54,6 +55,38 @@ def test_same_as_all_pairs(spark, cosine, leaf_size):
     assert sorted(found, key=repr) == sorted(brute_force(rows, cosine), key=repr)
 
 
+def clustered(count, groups, size, spread):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(0, 1, (groups, size))
+    x = centers[rng.integers(0, groups, count)] + rng.normal(0, spread, (count, size))
+    return [(i, v) for i, v in enumerate(x.astype("f4").tolist())]
+
+
+def test_clusters_are_joined_without_most_pairs_of_leaves(spark):
+    rows = clustered(3000, 15, 32, 0.12)
+    frame = spark.createDataFrame([(*r, "n", 1) for r in rows], SCHEMA)
+    classes = frame.selectExpr("vec_id node", "1L weight", "embedding").repartition(2)
+    eps = (2 - 2 * 0.95) ** 0.5
+    axes = grid_join.principal(classes, 32)
+    leaves = stage(grid_join._leaves(classes, axes, eps, 50), "leaves")
+    left, count = grid_join.close_leaves(leaves, axes.shape[1] + 1, eps).count(), leaves.count()
+    assert left < 0.3 * count * (count + 1) / 2
+    found = [tuple(r) for r in grid_join.linked(frame, 0.95, 50).collect()]
+    assert sum(r[1] for r in found) > 10_000
+    x = np.array([r[1] for r in rows], "f4").astype(float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert [r[1] for r in sorted(found)] == ((x @ x.T >= 0.95).sum(axis=1) - 1).tolist()
+
+
+def test_coordinates_are_no_further_apart_than_vectors():
+    rng = np.random.default_rng(5)
+    x = grid_join.units(rng.normal(0, 1, (60, 20)))
+    axes = np.linalg.qr(rng.normal(0, 1, (20, 4)))[0]
+    at = grid_join.located(x, axes)
+    near = np.linalg.norm(at[:, None] - at[None], axis=2) - np.linalg.norm(x[:, None] - x[None], axis=2)
+    assert near.max() < 1e-12
+
+
 def test_empty_table_and_wrong_limit(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert grid_join.linked(empty).count() == 0
