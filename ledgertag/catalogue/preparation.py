@@ -383,7 +383,7 @@ SAMPLED_LABELS_SQL = f"""
 )
 def sample_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sample_per_stratum(
-        label_rows(spark, sf_dir), 40, ["country_code", "transaction_label"],
+        materialize(label_rows(spark, sf_dir)), 40, ["country_code", "transaction_label"],
         "transaction_id_hashed",
     )
     return rows.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertag.domain import HASHED_KEY, MODEL_INPUTS, PLAIN_KEY
+from ledgertag.operators.reducers import KeySet, maybe_among
 from ledgertag.operators.sampling import sample_per_stratum, sample_to_size
 from ledgertag.session import materialize
 
@@ -90,11 +91,16 @@ def join_latest(latest: DataFrame, transactions: DataFrame) -> DataFrame:
 def category_feedback(
     tables: list[DataFrame], transactions: DataFrame, n_samples: int | None = None
 ) -> DataFrame:
-    """One category per transaction with feedback, thinned out to about ``n_samples`` rows."""
-    joined = join_latest(
-        latest_feedback(union_feedback(*tables, distinct=False)), transactions
-    ).select(*HASHED_KEY, *MODEL_INPUTS, "country_code", "target_category")
-    return joined if n_samples is None else sample_to_size(joined, n_samples)
+    """One category per transaction with feedback, thinned out to about ``n_samples`` rows.
+
+    Other transactions are dropped before they are joined or shuffled.
+    """
+    latest = materialize(latest_feedback(union_feedback(*tables, distinct=False)))
+    some = maybe_among(transactions, KeySet(latest, PLAIN_KEY[1:], transactions))
+    joined = join_latest(latest, some).select(
+        *HASHED_KEY, *MODEL_INPUTS, "country_code", "target_category"
+    )
+    return joined if n_samples is None else sample_to_size(materialize(joined), n_samples)
 
 
 def label_feedback_with_country(feedback: DataFrame, users: DataFrame) -> DataFrame:
@@ -173,8 +179,9 @@ def labels_per_transaction(
         same = [F.col(k).eqNullSafe(F.col(f"good_{k}")) for k in keys]
         rows = rows.join(good, same, "left_semi")
     if n_samples is not None:
+        # Counting, ratios and draws read the rows several times.
         rows = sample_per_stratum(
-            rows, n_samples, ["country_code", "transaction_label"], "transaction_id_hashed"
+            materialize(rows), n_samples, ["country_code", "transaction_label"], "transaction_id_hashed"
         )
     return without_conflicts(label_counts(rows))
 
@@ -191,7 +198,10 @@ def label_feedback(
     n_samples: int | None = None,
     conflicts_first: bool = False,
 ) -> DataFrame:
-    per_transaction = labels_per_transaction(feedback, users, n_samples, conflicts_first)
-    return join_labels(per_transaction, transactions).select(
+    per_transaction = materialize(
+        labels_per_transaction(feedback, users, n_samples, conflicts_first)
+    )
+    some = maybe_among(transactions, KeySet(per_transaction, HASHED_KEY[1:], transactions))
+    return join_labels(per_transaction, some).select(
         *HASHED_KEY, *MODEL_INPUTS, "country_code", "label_counts"
     )

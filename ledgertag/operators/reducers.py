@@ -2,7 +2,8 @@
 
 A bit set says which key digests occur on the small side. It is built by the cluster, sent to all
 tasks, and looked up while the large table is scanned, so rows without a partner never travel. A row may
-pass by chance; joins that follow decide.
+pass by chance; joins that follow decide. Where the large table is itself a join, name only key columns of its
+largest part: the condition is then tested at the scan of that part.
 """
 
 from __future__ import annotations
@@ -58,31 +59,28 @@ class KeySet:
         self.table = materialize(rows.select("block", dense.alias("words")))
 
 
-def _with_hits(rows: DataFrame, sets: tuple[KeySet, ...]) -> tuple[DataFrame, Column]:
-    """The rows with what is needed to look them up, and whether any set has their digest."""
+def _found(sets: tuple[KeySet, ...]) -> Column:
+    """Whether any set has the digest of a row. A condition on the key columns alone, so Spark tests it as
+    near to their scan as it can: below the joins that only add other columns."""
     found = F.lit(False)
-    for i, s in enumerate(sets):
-        place = f"_place_{i}"
-        rows = rows.withColumn(place, _digest(s.columns, s.bits))
-        table = s.table.select(F.col("block").alias(f"_block_{i}"), F.col("words").alias(f"_words_{i}"))
-        rows = rows.join(
-            F.broadcast(table), F.expr(f"{place} div {BLOCK_BITS}") == F.col(f"_block_{i}"), "left"
-        )
-        word = F.get(F.col(f"_words_{i}"), F.expr(f"cast({place} % {BLOCK_BITS} div {WORD_BITS} AS int)"))
-        bit = F.getbit(word, F.expr(f"cast({place} % {WORD_BITS} AS int)"))
+    for s in sets:
+        place = F.pmod(F.xxhash64(*[F.col(c).outer() for c in s.columns]), F.lit(s.bits))
+        word = F.get("words", (place % BLOCK_BITS / WORD_BITS).cast("int"))
+        bit = F.getbit(word, (place % WORD_BITS).cast("int"))
+        block = F.floor(place / BLOCK_BITS).cast("bigint")
+        hit = F.broadcast(s.table).where((F.col("block") == block) & (bit == 1))
         whole = F.lit(True)
         for c in s.columns:
             whole &= F.col(c).isNotNull()
-        found |= whole & F.coalesce(bit == 1, F.lit(False))
-    return rows, found
+        found |= whole & hit.exists()
+    return found
 
 
 def maybe_among(rows: DataFrame, *sets: KeySet) -> DataFrame:
     """The rows whose digest is in at least one of the sets. No shuffle; all columns stay."""
     if any(s.table is None for s in sets):
         return rows
-    looked_up, found = _with_hits(rows, sets)
-    return looked_up.where(found).select(*rows.columns)
+    return rows.where(_found(sets))
 
 
 def not_among(rows: DataFrame, keys: KeySet) -> DataFrame:
@@ -91,5 +89,4 @@ def not_among(rows: DataFrame, keys: KeySet) -> DataFrame:
         return rows.where("false")
     if not keys.size:
         return rows
-    looked_up, found = _with_hits(rows, (keys,))
-    return looked_up.where(~found).select(*rows.columns)
+    return rows.where(~_found((keys,)))

@@ -77,7 +77,7 @@ def labelled_rows(tables: dict[str, DataFrame], config: TrainingSetConfig) -> Da
     Transactions are by far the largest table, few of them have feedback, and both kinds of feedback
     are about the same transactions. So each kind is reduced to one row per transaction first, and the
     raw transactions are scanned once, keeping what lies in the period and may have feedback of either
-    kind. Users and accounts are joined to those, and that narrow table meets both kinds.
+    kind. That is told by account, id and date, since the user may come from another table. Users and accounts are joined to those, and that narrow table meets both kinds.
     """
     users = eligible_users(tables["users"], tables["test_users"])
     accounts = live_accounts(tables["accounts"])
@@ -96,8 +96,8 @@ def labelled_rows(tables: dict[str, DataFrame], config: TrainingSetConfig) -> Da
     period = (config.start, config.nl_start, config.end)
     some = maybe_among(
         transactions.select(*needed).where(any_period(*period, config.period_mode)),
-        KeySet(latest, PLAIN_KEY, transactions),
-        KeySet(per_transaction, HASHED_KEY, transactions),
+        KeySet(latest, PLAIN_KEY[1:], transactions),
+        KeySet(per_transaction, HASHED_KEY[1:], transactions),
     )
     base = materialize(
         eligible_transactions(
@@ -108,7 +108,7 @@ def labelled_rows(tables: dict[str, DataFrame], config: TrainingSetConfig) -> Da
     inputs = [*HASHED_KEY, *MODEL_INPUTS, "country_code"]
     categories = join_latest(latest, base).select(*inputs, "target_category")
     if config.n_categories_feedback is not None:
-        categories = sample_to_size(categories, config.n_categories_feedback)
+        categories = sample_to_size(materialize(categories), config.n_categories_feedback)
     labels = join_labels(per_transaction, base).select(*inputs, "label_counts")
     return wide_rows(categories, labels, config.null_safe_ids)
 
