@@ -1,11 +1,13 @@
 """What is shuffled, stored and sent out must not grow faster than the part of the input that is needed."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgertag.catalogue import tables as t
-from ledgertag.operators import feedback
+from ledgertag.operators import feedback, scoring
 from ledgertag.operators.reducers import KeySet, maybe_among
+from ledgertag.operators.scoring import masked_mean
 
 
 def plan(df):
@@ -80,3 +82,19 @@ def test_rows_that_are_drawn_are_stored_first(spark, monkeypatch):
     )
     assert feedback.labels_per_transaction(given, users, 100).count() == 9
     assert [*feedback.LABEL_COLUMNS, "country_code"] in stored
+
+
+def test_token_vectors_beyond_the_vocabulary_are_not_sent(spark, monkeypatch):
+    sent = []
+    gather = scoring.gathered_mean_udf
+    monkeypatch.setattr(scoring, "gathered_mean_udf", lambda ids, matrix: sent.append(len(ids)) or gather(ids, matrix))
+    df = spark.createDataFrame([(1, [2, 3, 0]), (2, [0, 0, 0]), (3, [4, 2, 2]), (4, None)], "k int, token_ids array<int>")
+    table = spark.range(-5, 5_000).select(
+        F.col("id").cast("int").alias("token_id"), F.array(F.col("id") * 1.0, F.lit(1.0)).alias("vector")
+    )
+    found = masked_mean(df, table, "k", 2, vocabulary=5)
+    whole = masked_mean(df, table, "k", 2)
+    assert rows(found) == rows(whole) and sent == [4, 5_005]
+    # Small enough only without the rest: still no join.
+    small = masked_mean(df, table, "k", 2, max_bytes=100 * 24, vocabulary=5)
+    assert rows(small) == rows(whole) and "Join" not in plan(small)
