@@ -71,7 +71,11 @@ class LabelModel:
             vectors = with_transaction_vector(features)
             fitted = fit_label_vectors(vectors, "target_label")
             return LabelModel(scale, label_matrix(fitted, "target_label", TRAINING_LABELS, VECTOR_SIZE))
-        labelled = features.where(F.col("target_label").isin(TRAINING_LABELS))
+        # Texts are cut into tokens once; three passes read the ids.
+        labelled = materialize(
+            features.where(F.col("target_label").isin(TRAINING_LABELS))
+            .select("target_label", "token_ids", "numeric_features")
+        )
         known = seen_tokens(labelled)
         vectors = with_transaction_vector(labelled, known=known)
         moments = label_moments(vectors, "target_label")

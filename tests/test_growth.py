@@ -7,7 +7,8 @@ from conftest import rows
 from ledgertag.catalogue import tables as t
 from ledgertag.operators import feedback, scoring
 from ledgertag.operators.reducers import KeySet, maybe_among
-from ledgertag.operators.scoring import masked_mean
+from ledgertag.operators.scoring import masked_mean, seen_tokens
+from ledgertag.plans import model
 
 
 def plan(df):
@@ -98,3 +99,19 @@ def test_token_vectors_beyond_the_vocabulary_are_not_sent(spark, monkeypatch):
     # Small enough only without the rest: still no join.
     small = masked_mean(df, table, "k", 2, max_bytes=100 * 24, vocabulary=5)
     assert rows(small) == rows(whole) and "Join" not in plan(small)
+
+
+def test_texts_of_examples_are_tokenised_once(spark, monkeypatch):
+    stored = []
+    keep = model.materialize
+    monkeypatch.setattr(model, "materialize", lambda df: stored.append(df.columns) or keep(df))
+    monkeypatch.setattr(model, "seen_tokens", lambda df: seen.append(plan(df)) or seen_tokens(df))
+    seen = []
+    examples = spark.createDataFrame(
+        [("gym abo", 1.0, "debit", "", "Gym"), ("salary may", 9.0, "credit", "", "Salary"), ("x", 2.0, "debit", "", None)],
+        "description string, amount double, transaction_type string, internal_transaction string, target_label string",
+    )
+    fitted = model.LabelModel.fit(examples)
+    assert ["target_label", "token_ids", "numeric_features"] in stored
+    assert "md5" not in seen[0]
+    assert sum(any(v) for v in fitted.matrix) == 2
