@@ -81,9 +81,10 @@ def eligible_transactions(
 
     The site condition is tested on the accounts, before transactions are joined. The parts
     of the period condition that name only transaction columns reach their scan, where
-    ``year`` and ``month`` prune folders.
+    ``year`` and ``month`` prune folders. The ids are those of the transactions, so a later
+    condition on all key columns reaches that scan, too.
     """
+    keys = ["user_id_hashed", "account_id_hashed"]
     owned = users.join(accounts, "user_id_hashed", "inner").where(site_filter(nl_site_ids))
-    return owned.join(
-        transactions, ["user_id_hashed", "account_id_hashed"], "inner"
-    ).where(period_filter(start, nl_start, end, mode))
+    rows = transactions.join(owned, keys, "inner").where(period_filter(start, nl_start, end, mode))
+    return rows.select(*dict.fromkeys([*keys, *owned.columns, *transactions.columns]))

@@ -1,11 +1,15 @@
 """What is shuffled, stored and sent out must not grow faster than the part of the input that is needed."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgertag.catalogue import tables as t
+from ledgertag.domain import HASHED_KEY
 from ledgertag.operators import feedback, scoring
+from ledgertag.operators.eligibility import eligible_transactions
 from ledgertag.operators.reducers import KeySet, maybe_among
 from ledgertag.operators.scoring import masked_mean, seen_tokens
 from ledgertag.plans import model
@@ -115,3 +119,16 @@ def test_texts_of_examples_are_tokenised_once(spark, monkeypatch):
     assert ["target_label", "token_ids", "numeric_features"] in stored
     assert "md5" not in seen[0]
     assert sum(any(v) for v in fitted.matrix) == 2
+
+
+def test_label_feedback_drops_other_lines_at_their_scan(spark, few_events, no_broadcast):
+    """The condition names an account, which accounts and transactions both have."""
+    lines = t.transaction_lines(spark, few_events)
+    users = spark.sql("SELECT id AS user_id_hashed, 'GB' AS country_code, 0 AS test_user FROM range(7)")
+    accounts = t.accounts(spark, few_events).drop("deleted")
+    period = (dt.date(1996, 1, 1), dt.date(1996, 1, 1), dt.date(2000, 1, 1))
+    base = eligible_transactions(users, accounts, lines, *period)
+    wanted = lines.where("account_id IN (3, 77)").select(*HASHED_KEY)
+    kept = maybe_among(base, KeySet(wanted, HASHED_KEY[1:], base))
+    assert any("BroadcastHashJoin" in line for line in below_first_exchange(plan(kept), "l_linenumber"))
+    assert base.count() == 1000 and kept.where("account_id IN (3, 77)").count() == 10 and kept.count() < 300
