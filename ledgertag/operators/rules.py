@@ -26,6 +26,21 @@ from ledgertag.domain import (
 from ledgertag.functions.text import labels_in_text
 
 
+def _with_entries(column: str, changed: dict[int, Column], size: int) -> Column:
+    """An array of ``size`` entries with some of them changed; a null array stays null.
+
+    The others are copied in runs: named one by one, they make code that is too long to be compiled well.
+    """
+    parts, i = [], 0
+    while i < size:
+        j = i
+        while j < size and (j in changed) == (i in changed):
+            j += 1
+        parts.append(F.array(*[changed[k] for k in range(i, j)]) if i in changed else F.slice(column, i + 1, j - i))
+        i = j
+    return F.when(F.col(column).isNotNull(), F.concat(*parts))
+
+
 def apply_similarity_rules(
     df: DataFrame,
     labels: list[str] = TRAINING_LABELS,
@@ -33,15 +48,13 @@ def apply_similarity_rules(
     column: str = "similarities",
 ) -> DataFrame:
     """Overwrite similarities where a rule fires; of several rules the last one wins."""
-    values = []
-    for i, label in enumerate(labels):
-        value = F.col(column)[i]
-        for rule in rules:
-            if rule.label == label:
-                fires = F.col(rule.feature) == rule.value
-                value = F.when(fires, F.lit(rule.similarity)).otherwise(value)
-        values.append(value)
-    return df.withColumn(column, F.when(F.col(column).isNotNull(), F.array(*values)))
+    changed: dict[int, Column] = {}
+    for rule in rules:
+        for i in (i for i, label in enumerate(labels) if label == rule.label):
+            fires = F.col(rule.feature) == rule.value
+            value = changed.get(i, F.col(column)[i])
+            changed[i] = F.when(fires, F.lit(rule.similarity)).otherwise(value)
+    return df.withColumn(column, _with_entries(column, changed, len(labels)))
 
 
 def eliminate_conflicts(
@@ -66,12 +79,8 @@ def eliminate_conflicts(
             temporary[one]: F.when(a < b, F.lit(SUPPRESSED)).otherwise(a),
             temporary[other]: F.when(b < a, F.lit(SUPPRESSED)).otherwise(b),
         })
-    values = [
-        F.col(temporary[label]) if label in temporary else F.col(column)[i]
-        for i, label in enumerate(labels)
-    ]
-    result = F.when(F.col(column).isNotNull(), F.array(*values))
-    return step.withColumn(column, result).select(*kept)
+    changed = {i: F.col(temporary[label]) for i, label in enumerate(labels) if label in temporary}
+    return step.withColumn(column, _with_entries(column, changed, len(labels))).select(*kept)
 
 
 def indicators(

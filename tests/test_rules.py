@@ -122,3 +122,18 @@ def test_test_descriptions_replace_labels(spark):
     )
     found = [set(r.labels) for r in apply_test_descriptions(df).collect()]
     assert found == [{"Test_music_streaming", "Test_gym"}, set(), set(), {"x"}]
+
+
+def test_untouched_similarities_are_copied_in_runs(spark):
+    """Named one by one they make generated code too long to be compiled well."""
+    values = [i / 100 for i in range(len(TRAINING_LABELS))]
+    df = spark.createDataFrame(
+        [(values, 1.0, 0.0), (None, 1.0, 0.0)],
+        "similarities array<double>, is_debit_transaction double, is_internal_transaction double",
+    )
+    found = eliminate_conflicts(apply_similarity_rules(df))
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert text.count("slice(similarities") == 2
+    rows = found.collect()
+    ruled = [-1.0 if label in ("Salary", "Refund", "Bonus_money") else v for label, v in zip(TRAINING_LABELS, values)]
+    assert rows[0]["similarities"] == ruled and rows[1]["similarities"] is None
